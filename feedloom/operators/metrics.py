@@ -122,7 +122,7 @@ def source_metrics(
 
 def failed_source_metrics(failures: DataFrame, run_at: str | datetime | Column) -> DataFrame:
     """Metrics rows of failed sources alone: all counts 0, one failed request."""
-    names = [f.name for f in schemas.RUN_METRICS.fields if f.dataType.typeName() == "long"]
+    names = [f.name for f in schemas.RUN_METRICS.fields if f.dataType == schemas.LONG]
     counts = [F.lit(1 if n == "failed_requests" else 0).cast("long").alias(n) for n in names]
     return failures.select(
         "run_id",
