@@ -39,6 +39,6 @@ def batch_recorded(spark: SparkSession, path: str, batch_id: str) -> bool:
     return not read_metrics(spark, path).filter(F.col("batch_id") == batch_id).isEmpty()
 
 
-def metrics_history(metrics: DataFrame) -> DataFrame:
-    """Time of the last run and number of recorded rows."""
-    return metrics.agg(F.max("run_at").alias("last_run_at"), F.count(F.lit(1)).alias("runs"))
+def metrics_history(metrics: DataFrame, *keys: str) -> DataFrame:
+    """Time of the last run and number of recorded rows (per ``keys`` if given)."""
+    return metrics.groupBy(*keys).agg(F.max("run_at").alias("last_run_at"), F.count(F.lit(1)).alias("runs"))
