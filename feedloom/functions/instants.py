@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.text import col_of
 
-# Fixed value: the accepted instant form, with "Z" or a numeric offset.
+# Fixed value: the accepted instant form, with "Z" or a numeric offset. 24:00:00 is the
+# end of the day and 23:59:60 a leap second.
 ISO_INSTANT = (
-    r"^-?\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"
+    r"^-?\d{4}-\d{2}-\d{2}T"
+    r"(24:00:00(\.0{1,9})?|23:59:60(\.\d{1,9})?|([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d{1,9})?)"
+    r"(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"
 )
 
-_DAY_MICROS = 86_400_000_000
-
 
 def as_instant(value: str | datetime | Column) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
@@ -23,19 +24,11 @@ def as_instant(value: str | datetime | Column) -> Column:
 
 def parse_instant(text: str | Column) -> Column:
     """The instant the text names, or NULL. Dates alone are not instants."""
-    upper = F.upper(col_of(text))
-    is_midnight_24 = upper.rlike(r"T24:00:00(\.0+)?[Z+-]")
-    is_leap_second = upper.rlike(r"T23:59:60")
-    plain = upper.try_cast("timestamp")
-    parsed = (
-        F.when(
-            is_midnight_24,
-            F.regexp_replace(upper, "T24:", "T00:").try_cast("timestamp") + F.expr("INTERVAL 1 DAY"),
-        )
-        .when(is_leap_second, F.regexp_replace(upper, "T23:59:60", "T23:59:59").try_cast("timestamp"))
-        .otherwise(plain)
-    )
-    return F.when(upper.rlike(ISO_INSTANT), parsed)
+    matched = F.regexp_extract(F.upper(col_of(text)), ISO_INSTANT, 0)
+    plain = F.replace(matched, F.lit("T23:59:60"), F.lit("T23:59:59"))
+    plain = F.replace(plain, F.lit("T24:00:00"), F.lit("T00:00:00")).try_cast("timestamp")
+    next_day = F.contains(matched, F.lit("T24:00:00"))
+    return F.when(next_day, plain + F.expr("INTERVAL 1 DAY")).otherwise(plain)
 
 
 def parse_instant_or(text: str | Column, run_at: str | datetime | Column) -> Column:
@@ -45,25 +38,17 @@ def parse_instant_or(text: str | Column, run_at: str | datetime | Column) -> Col
 
 def iso_instant(instant: str | Column) -> Column:
     """ISO-8601 text in UTC with 0, 3 or 6 fraction digits, as instants print themselves."""
-    micros = F.unix_micros(col_of(instant))
-    rest = F.pmod(micros, F.lit(_DAY_MICROS))
-    day = ((micros - rest) / _DAY_MICROS).cast("int")
-    second = F.floor(rest / 1_000_000)
-    fraction = F.pmod(rest, F.lit(1_000_000))
-
-    def two(value: Column) -> Column:
-        return F.lpad(value.cast("int").cast("string"), 2, "0")
-
-    clock = F.concat_ws(
-        ":",
-        two(F.floor(second / 3600)),
-        two(F.floor(F.pmod(second, F.lit(3600)) / 60)),
-        two(F.pmod(second, F.lit(60))),
-    )
-    digits = F.lpad(fraction.cast("string"), 6, "0")
-    tail = (
-        F.when(fraction == 0, F.lit("Z"))
-        .when(F.pmod(fraction, F.lit(1000)) == 0, F.concat(F.lit("."), F.substring(digits, 1, 3), F.lit("Z")))
-        .otherwise(F.concat(F.lit("."), digits, F.lit("Z")))
+    seconds = F.unix_micros(col_of(instant)).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(20,0)")
+    since_epoch = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    # A zone-less time prints as "date time[.fraction]" without trailing zeros.
+    text = F.replace(
+        (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since_epoch).cast("string"),
+        F.lit(" "),
+        F.lit("T"),
     )
-    return F.concat(F.date_from_unix_date(day).cast("string"), F.lit("T"), clock, tail)
+    fraction = F.substring_index(text, ".", -1)
+    padded = F.rpad(fraction, F.when(F.length(fraction) <= 3, 3).otherwise(6), F.lit("0"))
+    return F.when(
+        F.contains(text, F.lit(".")),
+        F.concat(F.substring_index(text, ".", 1), F.lit("."), padded, F.lit("Z")),
+    ).otherwise(F.concat(text, F.lit("Z")))
