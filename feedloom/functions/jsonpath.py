@@ -2,12 +2,15 @@
 
 A path may be a Python string, compiled to a chain of literal lookups, or a
 column, in which case each row follows its own path: all sources of a run are
-then read by one plan whatever their mappings are.
+then read by one plan whatever their mappings are. Spark reads a literal lookup
+path once but a computed one per row, so where the paths that occur in a column
+are few and known, ``path_get_known`` picks among literal lookups instead.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -89,6 +92,15 @@ def path_get(value: str | Column, path: str | Column) -> Column:
     return F.try_variant_get(current, F.lit(f"${plain}"), "variant") if plain else current
 
 
+def path_get_known(value: str | Column, path: str | Column, known: Iterable[str | None]) -> Column:
+    """As ``path_get`` for a path column whose values are all among ``known``."""
+    path = col_of(path)
+    choice = F.lit(None).cast("variant")
+    for text in sorted({k for k in known if k is not None}, reverse=True):
+        choice = F.when(path == text, path_get(value, text)).otherwise(choice)
+    return choice
+
+
 def as_text(value: Column) -> Column:
     """Text of a JSON value. JSON null is NULL; objects and arrays stay JSON text."""
     return F.try_variant_get(value, F.lit("$"), "string")

@@ -112,7 +112,9 @@ def _hashed_vector_udf(dim: int) -> Callable[[Column], Column]:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
     embed.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    return F.arrow_udf(embed, "array<double>")
+    # Marked non-deterministic only to be computed once: a filter on the vector would
+    # otherwise be pushed below it together with a second copy of the call.
+    return F.arrow_udf(embed, "array<double>").asNondeterministic()
 
 
 def vector_literal(vector: Sequence[float]) -> Column:

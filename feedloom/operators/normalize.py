@@ -10,71 +10,85 @@ from pyspark.sql import functions as F
 from feedloom import schemas
 from feedloom.fixed_values import BAD_JSON_MESSAGE, NOT_AN_ARRAY_MESSAGE, UNKNOWN_SOURCE
 from feedloom.functions.instants import parse_instant_or
-from feedloom.functions.jsonpath import as_array, as_text, follow, parse_body, path_get, path_segments
+from feedloom.functions.jsonpath import as_array, as_text, parse_body, path_get, path_get_known
 from feedloom.functions.text import first_text, has_text
+from feedloom.operators.columns import computed_once
 from feedloom.operators.config import check_config
-from feedloom.operators.joins import join_small
+from feedloom.operators.joins import join_skewed
 
 ORDER = ("source_ord", "response_no", "pos")
 KEYS = ("run_id", "source_name", *ORDER)
 
 
+# A configuration of at most this many rows is read once and sent to every task.
+LOCAL_CONFIG_ROWS = 20_000
+# With at most this many different paths for a field, its lookups are compiled.
+COMPILED_PATHS = 64
+
+
 def flatten_responses(raw: DataFrame, config: DataFrame) -> DataFrame:
-    """One row per item of every response body, each with its source's mapping.
+    """One row per item of every response body, with the texts its source's mapping names.
 
     A body that cannot be read gives one row with ``error_message``, an empty article
     list one row without an item: every response stays visible to the run metrics, and
     a broken source never stops the others.
     """
-    mapping = schemas.RESPONSE_MAPPING.names
+    names = schemas.RESPONSE_MAPPING.names
     checked = check_config(config).select(
         F.col("name").alias("source_name"),
         F.col("error_message").alias("config_error"),
-        F.col("response_mapping.articles_path").alias("articles_path"),
-        path_segments("response_mapping.articles_path").alias("articles_segments"),
-        *[path_segments(f"response_mapping.{name}").alias(f"{name}_segments") for name in mapping[1:]],
+        *[F.col(f"response_mapping.{name}").alias(f"{name}_path") for name in names],
     )
-    bodies = join_small(raw.withColumnRenamed("source", "source_name"), checked, "source_name")
-    parsed = bodies.withColumn("root", parse_body("body")).withColumn(
-        "items", as_array(follow("root", F.col("articles_segments")))
+    raw = raw.withColumnRenamed("source", "source_name")
+    known: dict[str, set] = {}
+    local = checked.limit(LOCAL_CONFIG_ROWS + 1).toArrow()
+    if local.num_rows <= LOCAL_CONFIG_ROWS:
+        known = {name: set(local.column(f"{name}_path").to_pylist()) for name in names}
+        sources = F.broadcast(raw.sparkSession.createDataFrame(local, checked.schema))
+        bodies = raw.join(sources, "source_name")
+    else:
+        bodies = join_skewed(raw, checked, "source_name")
+
+    def lookup(value: str, name: str) -> Column:
+        path = F.col(f"{name}_path")
+        if 0 < len(known.get(name, ())) <= COMPILED_PATHS:
+            return path_get_known(value, path, known[name])
+        return path_get(value, path)
+
+    rooted = computed_once(bodies, root=parse_body("body"))
+    parsed = computed_once(
+        rooted, unreadable=F.col("root").isNull(), items=as_array(lookup("root", "articles_path"))
     )
     error = F.coalesce(
         F.col("config_error"),
-        F.when(F.col("root").isNull(), F.format_string(BAD_JSON_MESSAGE, "source_name")).when(
-            F.col("items").isNull(), F.format_string(NOT_AN_ARRAY_MESSAGE, "source_name", "articles_path")
+        F.when(F.col("unreadable"), F.format_string(BAD_JSON_MESSAGE, "source_name")).when(
+            F.col("items").isNull(),
+            F.format_string(NOT_AN_ARRAY_MESSAGE, "source_name", "articles_path_path"),
         ),
     )
-    items = F.when(F.col("config_error").isNull(), F.col("items"))
-    return parsed.select(
+    items = parsed.select(
         "run_id",
         "source_name",
         "source_ord",
         "response_no",
-        *[f"{name}_segments" for name in mapping[1:]],
+        *[f"{name}_path" for name in names[1:]],
         error.alias("error_message"),
-        F.posexplode_outer(items).alias("pos", "item"),
+        F.posexplode_outer(F.when(F.col("config_error").isNull(), F.col("items"))).alias("pos", "item"),
     )
+    texts = {f"raw_{name}": as_text(lookup("item", name)) for name in names[1:]}
+    return computed_once(items, **texts).select(*KEYS, "error_message", *texts)
 
 
 def normalize_generic(items: DataFrame, run_at: str | datetime | Column) -> DataFrame:
-    """Articles from flattened items by each source's own field mapping.
+    """Articles from flattened items, with the fallback rules of the generic mapper.
 
     Rows of ``flatten_responses`` keep their place: ``kept`` is true for the articles and
     false for untitled items, errors and empty responses.
     """
-    fields = items.select(
-        *KEYS,
-        "error_message",
-        *[
-            as_text(follow("item", F.col(f"{name}_segments"))).alias(f"raw_{name}")
-            for name in schemas.RESPONSE_MAPPING.names[1:]
-        ],
-    )
-    kept = has_text("raw_title")
-    return fields.select(
+    return items.select(
         *KEYS,
         "error_message",
-        kept.alias("kept"),
+        has_text("raw_title").alias("kept"),
         F.col("raw_url").alias("external_id"),
         F.col("raw_title").alias("title"),
         first_text("raw_content", "raw_title").alias("content"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedloom import schemas
 from feedloom.functions.hashing import sha256_id
 from feedloom.functions.instants import iso_instant
+from feedloom.session import spread
 
 RUN_AT = datetime(2026, 5, 9, 8, tzinfo=UTC)
 RUN_AT_MICROS = int(RUN_AT.timestamp()) * 1_000_000
@@ -36,7 +37,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as articles: title is the first line, content the rest."""
     title = F.substring_index("text", "\n", 1)
     return (
-        read(spark, sf_dir, "documents")
+        spread(read(spark, sf_dir, "documents"))
         .withColumn("title", title)
         .select(
             F.col("doc_id").alias("n"),

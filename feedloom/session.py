@@ -46,3 +46,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when the input has fewer partitions than there are cores.
+
+    A few large files would otherwise keep most of the cluster idle during parsing and
+    embedding. An input with enough partitions is left as it is: nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
