@@ -51,11 +51,10 @@ def hashed_vector_expr(text: str | Column, dim: int) -> Column:
     check_dimension(dim)
     hashes = F.transform(tokens(text), java_string_hash)
     signed = F.transform(hashes, lambda h: F.struct(bucket(h, dim).alias("b"), direction(h).alias("d")))
-    counts = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda slot: F.aggregate(
-            F.filter(signed, lambda s: s["b"] == slot), F.lit(0.0), lambda acc, s: acc + s["d"]
-        ),
+    counts = F.aggregate(
+        signed,
+        F.array_repeat(F.lit(0.0), dim),
+        lambda acc, s: F.transform(acc, lambda x, slot: x + F.when(slot == s["b"], s["d"]).otherwise(0)),
     )
     return l2_normalize(counts)
 

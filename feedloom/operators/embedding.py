@@ -94,13 +94,15 @@ def read_embedding_replies(responses: DataFrame, dim: int) -> DataFrame:
     )
 
 
-def apply_embedding_responses(articles: DataFrame, responses: DataFrame, dim: int) -> DataFrame:
+def apply_embedding_responses(
+    articles: DataFrame, responses: DataFrame, dim: int, heavy: DataFrame | None = None
+) -> DataFrame:
     """Attach reply vectors; an unusable or missing reply sets ``embedding_error`` (no fallback).
 
     ``responses`` holds one reply per ``doc_id``.
     """
     replies = read_embedding_replies(responses, dim).withColumn("_found", F.lit(True))
-    return join_skewed(articles, replies, "doc_id", "left").select(
+    return join_skewed(articles, replies, "doc_id", "left", heavy).select(
         *articles.columns,
         "embedding",
         F.when(F.col("_found").isNull(), F.lit(EMBEDDING_MISSING_MESSAGE))

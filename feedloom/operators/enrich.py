@@ -12,7 +12,7 @@ from feedloom.functions.lexicon import keyword_sentiment
 from feedloom.functions.text import article_text
 from feedloom.functions.vectors import check_dimension, hashed_vector
 from feedloom.operators.embedding import apply_embedding_responses
-from feedloom.operators.joins import join_small
+from feedloom.operators.joins import heavy_keys, join_small
 from feedloom.operators.sentiment import apply_sentiment_responses
 
 # A labeller or embedder is a user's ``(title, content) -> Column``.
@@ -40,12 +40,14 @@ def enrich(
     """
     check_dimension(dim)
     result = with_document_id(articles)
+    # Copies of one article share an id, so replies are joined with an eye on heavy ids.
+    heavy = heavy_keys(result, "doc_id")
     if sentiment_responses is not None:
-        result = apply_sentiment_responses(result, sentiment_responses)
+        result = apply_sentiment_responses(result, sentiment_responses, heavy=heavy)
     else:
         result = result.withColumn("sentiment", labeller("title", "content"))
     if embedding_responses is not None:
-        return apply_embedding_responses(result, embedding_responses, dim)
+        return apply_embedding_responses(result, embedding_responses, dim, heavy)
     if embedder is None:
         vector = hashed_vector(article_text("title", "content"), dim)
         return result.withColumn("embedding", vector).withColumn(

@@ -27,37 +27,47 @@ def join_small(
     return join_skewed(left, right, on, how)
 
 
+def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Keys with more than ``heavy_rows`` rows, heaviest first, at most ``HEAVY_KEYS`` of them."""
+    return (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > heavy_rows)
+        .orderBy(F.desc("_rows"))
+        .limit(HEAVY_KEYS)
+        .select(key)
+    )
+
+
 def join_skewed(
     left: DataFrame,
     right: DataFrame,
     on: str,
     how: str = "inner",
-    heavy_rows: int = HEAVY_ROWS,
+    heavy: DataFrame | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join whose left side may hold very many rows of one key.
 
-    Keys with more than ``heavy_rows`` left rows (at most ``HEAVY_KEYS`` of them, so the
-    list is safe to broadcast) are spread over ``salts`` tasks by a hash of the whole
-    left row; their right rows are repeated per salt. All other keys join as usual.
-    ``how`` is inner, left, left_semi or left_anti.
+    The left rows of ``heavy`` keys (found by ``heavy_keys`` unless given; a short list, so
+    it is safe to broadcast) are spread over ``salts`` tasks by a hash of the whole row,
+    and their right rows are repeated per salt. All other keys join as usual. ``how`` is
+    inner, left, left_semi or left_anti.
+
+    Finding heavy keys reads the key column of ``left`` once more: pass a stored table
+    where ``left`` is costly to compute, or the keys where they are known.
     """
-    heavy = F.broadcast(
-        left.groupBy(on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter((F.col("_rows") > heavy_rows) & F.col(on).isNotNull())
-        .orderBy(F.desc("_rows"))
-        .limit(HEAVY_KEYS)
-        .select(on, F.lit(True).alias("_heavy"))
-    )
+    heavy = heavy_keys(left, on) if heavy is None else heavy
+    flagged = F.broadcast(heavy.select(on, F.lit(True).alias("_heavy")))
     is_heavy = F.coalesce(F.col("_heavy"), F.lit(False))
     hashable = [F.col(f.name) for f in left.schema.fields if f.dataType.typeName() not in ("variant", "map")]
-    salted_left = left.join(heavy, on, "left").select(
+    salted_left = left.join(flagged, on, "left").select(
         *left.columns,
         F.when(is_heavy, F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")).otherwise(0).alias("_salt"),
     )
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_right = right.join(heavy, on, "left").select(
+    salted_right = right.join(flagged, on, "left").select(
         *right.columns, F.explode(F.when(is_heavy, every_salt).otherwise(F.array(F.lit(0)))).alias("_salt")
     )
     return salted_left.join(salted_right, [on, "_salt"], how).drop("_salt")

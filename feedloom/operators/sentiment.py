@@ -69,6 +69,7 @@ def apply_sentiment_responses(
     responses: DataFrame,
     positive: Sequence[str] = POSITIVE_KEYWORDS,
     negative: Sequence[str] = NEGATIVE_KEYWORDS,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Label each article from its reply; without a usable one from the lexicon.
 
@@ -82,6 +83,6 @@ def apply_sentiment_responses(
         .agg(F.min("_label").alias("_label"))
     )
     fallback = keyword_sentiment("title", "content", positive, negative)
-    return join_skewed(articles, labels, "doc_id", "left").select(
+    return join_skewed(articles, labels, "doc_id", "left", heavy).select(
         *articles.columns, F.coalesce("_label", fallback).alias("sentiment")
     )

@@ -114,7 +114,7 @@ def _sentiment_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(F.lit("not-json"))
     body = F.to_json(F.struct(F.array(F.struct(F.struct(content.alias("content")).alias("message"))).alias("choices")))
     status = F.when((F.col("quality") == 0) & (F.col("toxic") == 1), F.lit(500)).otherwise(F.lit(200))
-    keys = I.keyed_articles(spark, sf_dir).select("n", "doc_id")
+    keys = I.article_keys(spark, sf_dir)
     labels = I.read(spark, sf_dir, "labels").withColumnRenamed("doc_id", "n")
     return labels.join(keys, "n").select("doc_id", status.alias("status"), body.alias("body"))
 

@@ -56,6 +56,12 @@ def keyed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles(spark, sf_dir).withColumn("doc_id", sha256_id("url"))
 
 
+def article_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and document id of every article; reads no text."""
+    url = F.concat_ws("/", F.lit("https://feed.example"), "source", "doc_id")
+    return read(spark, sf_dir, "documents").select(F.col("doc_id").alias("n"), sha256_id(url).alias("doc_id"))
+
+
 def published_text() -> Column:
     """Publication text that is good, shifted, a bare date or absent, by language."""
     iso = iso_instant("published_at")

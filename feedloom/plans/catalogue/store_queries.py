@@ -166,7 +166,7 @@ UNION ALL SELECT 'pages', count(*), count(*), 0 FROM pages
 """
 )
 def upsert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = indexing_summary(I.keyed_articles(spark, sf_dir).select("doc_id"), _writes(spark, sf_dir))
+    summary = indexing_summary(I.article_keys(spark, sf_dir), _writes(spark, sf_dir))
     return summary.drop("run_id")
 
 
@@ -237,7 +237,7 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = failures.select("source_name")
     writes = items.filter("kept").join(F.broadcast(failed), "source_name", "left_anti")
     labels = I.read(spark, sf_dir, "labels").select(F.col("doc_id").alias("n"))
-    known = I.keyed_articles(spark, sf_dir).join(labels, "n", "left_semi").select("doc_id")
+    known = I.article_keys(spark, sf_dir).join(labels, "n", "left_semi")
     summary = indexing_summary(known, writes)
     return source_metrics(items, summary, failures, I.RUN_AT)
 

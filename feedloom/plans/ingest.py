@@ -50,6 +50,9 @@ def process(
     """
     run_at = run_at if isinstance(run_at, Column) else F.lit(run_at).cast("timestamp")
     items = parser(raw, config, run_at)
+    if enrichment.keys() & {"sentiment_responses", "embedding_responses"}:
+        # Joining replies reads the articles more than once; they are parsed only once.
+        items = materialize(items, "articles")
     enriched = enrich(items, dim, **enrichment)
     kept = F.col("kept")
     return enriched.withColumns(

@@ -156,13 +156,17 @@ class ArticleIndex:
                 wrong, F.raise_error(F.lit(f"embedding dimension differs from {commit.dim}"))
             ).otherwise(F.col("embedding")),
         )
-        changed = checked if commit.delta is None else upsert(self._table(commit.delta, buckets), checked)
-        delta, delta_rows = self._write(changed, "delta", buckets)
-        base, base_rows = commit.base, commit.base_rows
-        if delta_rows > self.rewrite_share * base_rows:
-            merged = upsert(self._table(base, buckets), self._table(delta, buckets))
-            base, base_rows = self._write(merged, "base", buckets)
+        if commit.base_rows == 0 and commit.delta is None:
+            base, base_rows = self._write(checked, "base", buckets)
             delta, delta_rows = None, 0
+        else:
+            changed = checked if commit.delta is None else upsert(self._table(commit.delta, buckets), checked)
+            delta, delta_rows = self._write(changed, "delta", buckets)
+            base, base_rows = commit.base, commit.base_rows
+            if delta_rows > self.rewrite_share * base_rows:
+                merged = upsert(self._table(base, buckets), self._table(delta, buckets))
+                base, base_rows = self._write(merged, "base", buckets)
+                delta, delta_rows = None, 0
         return self._append(
             Commit(commit.version + 1, batch_id, commit.dim, buckets, base, delta, base_rows, delta_rows)
         )

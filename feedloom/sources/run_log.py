@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ def append_metrics(metrics: DataFrame, path: str, batch_id: str | None = None) -
     try:
         rows.select(*schemas.RUN_METRICS.names).write.mode("append").parquet(path)
         return True
-    except (PySparkException, OSError) as error:
+    except (PySparkException, Py4JJavaError, OSError) as error:
         LOG.error("Could not write run metrics to %s: %s", path, error)
         return False
 

@@ -132,7 +132,7 @@ def test_hashed_vector_equals_a_plain_loop(spark, texts, dim):
 
 
 def test_both_hashed_vector_forms_agree_and_have_norm_one_or_zero(spark, table):
-    docs = table("documents").select(F.lower("text").alias("t"))
+    docs = table("benchmark").select(F.lower("text").alias("t"))
     pairs = docs.select(hashed_vector("t", 16).alias("a"), hashed_vector_expr("t", 16).alias("b")).collect()
     for r in pairs:
         assert r.a == pytest.approx(r.b, abs=1e-12)

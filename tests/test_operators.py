@@ -20,7 +20,7 @@ from feedloom.operators.embedding import (
 )
 from feedloom.operators.enrich import enrich, source_atomic_gate, source_failures
 from feedloom.operators.fetch import fetch_outcomes
-from feedloom.operators.joins import fits, join_skewed, join_small
+from feedloom.operators.joins import fits, heavy_keys, join_skewed, join_small
 from feedloom.operators.metrics import failed_requests, run_summary
 from feedloom.operators.normalize import (
     articles_of,
@@ -335,7 +335,7 @@ def test_skewed_join_equals_the_plain_join(spark, how):
     left = left.unionByName(spark.createDataFrame([(None, -1)], "k string, id bigint"))
     right = spark.createDataFrame([("hot", 1), ("7", 2), ("8", 3), ("zzz", 4)], "k string, v int")
     plain = left.join(right, "k", how)
-    salted = join_skewed(left, right, "k", how, heavy_rows=100, salts=5)
+    salted = join_skewed(left, right, "k", how, heavy_keys(left, "k", 100), salts=5)
     assert sorted(salted.columns) == sorted(plain.columns)
     names = plain.columns
     assert sorted(map(repr, salted.select(names).collect())) == sorted(map(repr, plain.collect()))
@@ -348,7 +348,7 @@ def test_hot_key_is_spread_over_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = join_skewed(left, right, "k", heavy_rows=100, salts=16)
+        joined = join_skewed(left, right, "k", "inner", heavy_keys(left, "k", 100), salts=16)
         parts = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
