@@ -287,6 +287,17 @@ def test_keyword_sentiment(spark):
     assert over(spark, [None], lambda c: keyword_sentiment(c, F.lit(None).cast("string"))) == ["neutral"]
 
 
+def test_keyword_hits_count_every_keyword_once(spark):
+    from feedloom.fixed_values import NEGATIVE_KEYWORDS, POSITIVE_KEYWORDS
+    from feedloom.functions.lexicon import keyword_hits
+
+    words = [*POSITIVE_KEYWORDS, *NEGATIVE_KEYWORDS]
+    texts = [*words, "gains gain gains", "xsuccessfulx", "award", "", *(" ".join(words[i:]) for i in range(45))]
+    for keywords in (POSITIVE_KEYWORDS, NEGATIVE_KEYWORDS, ("a", "ab", "abc", "b", "x"), ()):
+        got = over(spark, texts, lambda c, keywords=keywords: keyword_hits(c, keywords))
+        assert got == [sum(k in t for k in keywords) for t in texts]
+
+
 def test_label(spark):
     assert over(spark, ["POSITIVE", "negative", "Neutral", " positive", "mixed", None], label) == [
         "positive",
