@@ -45,3 +45,10 @@ def fetch_outcomes(attempts: DataFrame, max_retries: int = DEFAULT_MAX_RETRIES)
             ),
         )
     )
+
+
+def fetch_failures(outcomes: DataFrame) -> DataFrame:
+    """Failed fetches in the form ``ingest`` takes: run, source name and message."""
+    return outcomes.filter(~F.col("ok")).select(
+        "run_id", F.col("source").alias("source_name"), "error_message"
+    )

@@ -71,17 +71,21 @@ def flatten_responses(raw: DataFrame, config: DataFrame) -> DataFrame:
         "source_name",
         "source_ord",
         "response_no",
+        "fetched_at",
         *[f"{name}_path" for name in names[1:]],
         error.alias("error_message"),
         F.posexplode_outer(F.when(F.col("config_error").isNull(), F.col("items"))).alias("pos", "item"),
     )
     texts = {f"raw_{name}": as_text(lookup("item", name)) for name in names[1:]}
-    return computed_once(items, **texts).select(*KEYS, "error_message", *texts)
+    return computed_once(items, **texts).select(*KEYS, "fetched_at", "error_message", *texts)
 
 
 def normalize_generic(items: DataFrame, run_at: str | datetime | Column) -> DataFrame:
     """Articles from flattened items, with the fallback rules of the generic mapper.
 
+    ``run_at`` stands in for a missing or unreadable publication time; it may be an
+    expression over the items, such as ``fetched_at``.
+
     Rows of ``flatten_responses`` keep their place: ``kept`` is true for the articles and
     false for untitled items, errors and empty responses.
     """
@@ -127,6 +131,7 @@ def normalize_typed(
         F.col("source").alias("source_name"),
         "source_ord",
         "response_no",
+        "fetched_at",
         F.posexplode("payload.articles").alias("pos", "item"),
         fallback.alias("fallback"),
     )

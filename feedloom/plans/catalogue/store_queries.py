@@ -10,6 +10,7 @@ from feedloom.functions.hashing import document_id
 from feedloom.functions.lexicon import keyword_sentiment
 from feedloom.functions.vectors import has_embedding
 from feedloom.operators.embedding import with_hash_embedding
+from feedloom.operators.enrich import source_atomic_gate
 from feedloom.operators.metrics import (
     embedded_count,
     failed_source_metrics,
@@ -234,8 +235,7 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of that run against an index that holds the labelled documents already."""
     items = materialize(_items(spark, sf_dir), "items")
     failures = failures_of(items)
-    failed = failures.select("source_name")
-    writes = items.filter("kept").join(F.broadcast(failed), "source_name", "left_anti")
+    writes = source_atomic_gate(items.filter("kept"), failures)
     labels = I.read(spark, sf_dir, "labels").select(F.col("doc_id").alias("n"))
     known = I.article_keys(spark, sf_dir).join(labels, "n", "left_semi")
     summary = indexing_summary(known, writes)

@@ -94,11 +94,12 @@ class ArticleIndex:
         return self.spark.table(name)
 
     def _write(self, documents: DataFrame, kind: str, buckets: int) -> tuple[str, int]:
+        # Not repartitioned here: rows that come from a bucketed table already lie bucket by
+        # bucket in their tasks, and a new batch was dealt out by ``upsert``.
         location = f"{self.path}/data/{kind}-{uuid.uuid4().hex}"
         name = "feedloom_" + hashlib.md5(location.encode()).hexdigest()
         (
             documents.select(*schemas.INDEX_DOCUMENT.names)
-            .repartition(buckets, "doc_id")
             .write.option("path", location)
             .bucketBy(buckets, "doc_id")
             .sortBy("doc_id")
@@ -155,7 +156,7 @@ class ArticleIndex:
             F.when(
                 wrong, F.raise_error(F.lit(f"embedding dimension differs from {commit.dim}"))
             ).otherwise(F.col("embedding")),
-        )
+        ).repartition(buckets, "doc_id")
         if commit.base_rows == 0 and commit.delta is None:
             base, base_rows = self._write(checked, "base", buckets)
             delta, delta_rows = None, 0

@@ -38,6 +38,8 @@ def ingest_stream(
     gives the same documents.
     """
 
+    fetched = F.coalesce("fetched_at", F.current_timestamp())
+
     def run(batch: DataFrame, epoch: int) -> None:
         try:
             ingest(
@@ -46,7 +48,7 @@ def ingest_stream(
                 index,
                 metrics_path,
                 batch_id=f"{name}-{epoch}",
-                **options,
+                **{"published_default": fetched, **options},
             )
         except Exception:
             if stop_on_error:

@@ -107,7 +107,7 @@ def test_bucket_and_direction_of_negative_hashes(spark):
     assert over(spark, values, direction, "int") == [1, -1, -1, 1]
 
 
-def reference_vector(text, dim):
+def plain_vector(text, dim):
     vector = [0.0] * dim
     token = ""
     for ch in text + " ":
@@ -128,7 +128,7 @@ def reference_vector(text, dim):
 )
 def test_hashed_vector_equals_a_plain_loop(spark, texts, dim):
     for vector, text in zip(over(spark, texts, lambda c: hashed_vector(c, dim)), texts, strict=True):
-        assert vector == pytest.approx(reference_vector(text, dim), abs=1e-12)
+        assert vector == pytest.approx(plain_vector(text, dim), abs=1e-12)
 
 
 def test_both_hashed_vector_forms_agree_and_have_norm_one_or_zero(spark, table):
@@ -146,8 +146,8 @@ def test_both_hashed_vector_forms_agree_and_have_norm_one_or_zero(spark, table):
 def test_long_tokens_and_large_batches(spark):
     texts = ["x" * 50_000, "a b " * 20_000] + ["w"] * 1000
     got = over(spark, texts, lambda c: hashed_vector(c, 8))
-    assert got[0] == reference_vector(texts[0], 8) and got[1] == pytest.approx(reference_vector(texts[1], 8))
-    assert all(v == reference_vector("w", 8) for v in got[2:])
+    assert got[0] == plain_vector(texts[0], 8) and got[1] == pytest.approx(plain_vector(texts[1], 8))
+    assert all(v == plain_vector("w", 8) for v in got[2:])
 
 
 def test_vector_expressions(spark):

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.operators.config import source_config
+from feedloom.operators.fetch import fetch_failures, fetch_outcomes
 from feedloom.plans.ingest import ingest
 from feedloom.session import scratch_dir
 from feedloom.sources.article_index import ArticleIndex
+from feedloom.sources.responses import raw_responses
 from feedloom.sources.run_log import batch_recorded, metrics_history, read_metrics
 from feedloom.streaming.ingest_stream import ingest_stream
 
@@ -73,10 +75,10 @@ def test_all_sources_broken(spark, store):
 
 def test_fetch_failure_is_reported_for_its_source(spark, store):
     index, metrics = store
-    failed = spark.createDataFrame(
-        [("r1", "down", "HTTP fetch failed for source down: HTTP 400 Bad Request")],
-        "run_id string, source_name string, error_message string",
+    log = spark.createDataFrame(
+        [("r1", "down", 1, 400, None, "Bad Request"), ("r1", "up", 1, 200, None, None)], schemas.ATTEMPT_LOG
     )
+    failed = fetch_failures(fetch_outcomes(log))
     result = ingest(
         raw_of(spark, ("up", body())),
         config_of(spark, "up", "down"),
@@ -88,6 +90,7 @@ def test_fetch_failure_is_reported_for_its_source(spark, store):
     rows = {r.source: r for r in result.metrics.collect()}
     assert rows["up"].status == "SUCCESS" and rows["up"].fetched_count == 0
     assert rows["down"].status == "FAILED" and rows["down"].upstream_status is None
+    assert rows["down"].error_message == "HTTP fetch failed for source down: HTTP 400 Bad Request"
     assert result.summary.first().status == "partial"
 
 
@@ -171,8 +174,12 @@ def test_stream_takes_each_file_once(spark, store):
             spark, f"{root}/landing", config, index, metrics, f"{root}/checkpoint", stop_on_error=True
         ).awaitTermination()
 
-    land(("a", body(article(1), article(2))), run="r1")
+    land(("a", body(article(1), article(2, publishedAt="2026-05-09"))), run="r1")
+    landed = raw_responses(spark, f"{root}/landing")
+    assert landed.schema == schemas.RAW_RESPONSE and landed.count() == 1
     run()
+    # Without an instant of its own, an article gets the time of its response.
+    assert index.read().filter("url = 'https://x/2'").first().timestamp == RUN_AT.replace(tzinfo=None)
     run()
     assert index.count() == 2 and read_metrics(spark, metrics).count() == 1
     land(("a", body(article(2, title="New"))), ("b", body(article(3))), run="r2")

@@ -107,9 +107,9 @@ def test_transient_failures_are_retried(spark):
 
 
 def test_permanent_failure_ends_the_loop(spark):
-    rows = [("NewsAPI", 1, 400, None, "Bad Request"), ("NewsAPI", 2, 200, None, None)]
-    message = "HTTP fetch failed for source NewsAPI: HTTP 400 Bad Request"
-    assert outcomes(spark, rows, 3) == {"NewsAPI": (False, 1, message)}
+    rows = [("Wire", 1, 400, None, "Bad Request"), ("Wire", 2, 200, None, None)]
+    message = "HTTP fetch failed for source Wire: HTTP 400 Bad Request"
+    assert outcomes(spark, rows, 3) == {"Wire": (False, 1, message)}
 
 
 def test_blank_reason_gives_the_error_kind(spark):
