@@ -75,12 +75,12 @@ def knn_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH {_VECTOR_SCORES}
 SELECT vec_id, round(score, 6) AS score FROM (SELECT * FROM scored ORDER BY score DESC, vec_id LIMIT 20)
-WHERE score >= 0.38
+WHERE score >= 0.42
 """
 )
 def knn_min_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = knn(_vectors(spark, sf_dir), query_vector(spark, QUESTION, 64), 20)
-    return min_score_filter(hits, 0.38).select(F.col("doc_id").alias("vec_id"), F.round("score", 6).alias("score"))
+    return min_score_filter(hits, 0.42).select(F.col("doc_id").alias("vec_id"), F.round("score", 6).alias("score"))
 
 
 @query(
@@ -168,11 +168,11 @@ question AS (SELECT 0 AS id, '{QUESTION}' AS text), {S.weights("q", "question",
 {S.scores("question", "q", "texts", "v")}
 SELECT title, source, url, sentiment, timestamp, round(score, 6) AS score FROM (
   SELECT id, score FROM scored ORDER BY score DESC, id LIMIT 10
-) JOIN stored USING (id) WHERE score >= 0.5
+) JOIN stored USING (id) WHERE score >= 0.69
 """
 )
 def search_one_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = search(_index(spark, sf_dir), QUESTION, 10, 0.5, dim=16)
+    hits = search(_index(spark, sf_dir), QUESTION, 10, 0.69, dim=16)
     return hits.withColumn("score", F.round("score", 6))
 
 
