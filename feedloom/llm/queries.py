@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from feedloom.llm.chat import OP8_SQL, op8_chat_format
+from feedloom.llm.decontamination import OP7_SQL, op7_decontamination
 from feedloom.llm.mixing import op6_source_mixing
 from feedloom.llm.quality_rules import op5_quality_rules
 from feedloom.llm.token_ids import op10_token_ids
@@ -10,7 +11,11 @@ from feedloom.llm.token_ids import op10_token_ids
 QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_source_mixing": op6_source_mixing,
+    "op7_decontamination": op7_decontamination,
     "op8_chat_format": op8_chat_format,
     "op10_token_ids": op10_token_ids,
 }
-ORACLES = {"op8_chat_format": OP8_SQL}
+ORACLES = {
+    "op7_decontamination": OP7_SQL,
+    "op8_chat_format": OP8_SQL,
+}
