@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from feedloom.llm.chat import OP8_SQL, op8_chat_format
 from feedloom.llm.decontamination import OP7_SQL, op7_decontamination
+from feedloom.llm.lm_scoring import op4_lm_scoring
 from feedloom.llm.mixing import op6_source_mixing
+from feedloom.llm.quality_classifier import op9_quality_classifier
 from feedloom.llm.quality_rules import op5_quality_rules
 from feedloom.llm.token_ids import op10_token_ids
+from feedloom.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_quality_rules": op5_quality_rules,
     "op6_source_mixing": op6_source_mixing,
     "op7_decontamination": op7_decontamination,
     "op8_chat_format": op8_chat_format,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_token_ids": op10_token_ids,
 }
 ORACLES = {
