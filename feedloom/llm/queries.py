@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from feedloom.llm.chat import OP8_SQL, op8_chat_format
 from feedloom.llm.decontamination import OP7_SQL, op7_decontamination
+from feedloom.llm.html_extraction import op1_html_extraction
 from feedloom.llm.jaccard_join import op3_jaccard_join
 from feedloom.llm.lm_scoring import op4_lm_scoring
 from feedloom.llm.mixing import op6_source_mixing
@@ -13,6 +14,7 @@ from feedloom.llm.token_ids import op10_token_ids
 from feedloom.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_toxicity": op2_toxicity,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_lm_scoring": op4_lm_scoring,
