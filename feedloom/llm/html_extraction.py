@@ -5,7 +5,7 @@ occurrence vector of a token says how often each page has it; it is kept as a fi
 tasks sum up, never as a list of pages. Tokens with one vector are an equivalence class; a class
 on enough pages of its host is valid. Valid classes nest by their paths into the host's template,
 and what lies between their tokens are its slots. The article's slot is the element marked as
-article or main with most text, else the deepest one that holds most of the host's text; a page
+article or main with most text, else the deepest container that holds most of the host's text; a page
 without that element is read by its own marks. Inside, everything is data, repeated or not,
 except side elements (menus, notices, adverts, forms, comments, ...).
 
@@ -21,6 +21,7 @@ columns are ignored.
 from __future__ import annotations
 
 import html as references
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -34,6 +35,7 @@ from feedloom.llm.inputs import slices, table
 MIN_SUPPORT = 0.2  # share of a host's pages; it also bounds the tokens of a template
 HALF = 0.5
 BATCH_CHARS = 4_000_000
+CONTAINERS = frozenset("article body center div main section td".split())
 TOKENS = "host string, page long, path string, n long, chars long, marked boolean"
 
 
@@ -107,10 +109,14 @@ def article_path(classes: list[tuple[int, int, list]]) -> str | None:
         # The outermost marked element with most text; its inner elements hold no more.
         return max(marked, key=lambda s: (s[0], -s[1], s[2]))[2]
     most = max((chars for _, chars, _ in slots), default=0)
-    deep = [(path.count(">"), path) for path, chars, _ in slots if most and chars >= HALF * most]
+    deep = [(path.count(">"), path) for path, chars, _ in slots if most and chars >= HALF * most and holds_blocks(path)]
     return max(deep, default=(0, None))[1]
 
 
+def holds_blocks(path: str) -> bool:
+    return re.split(r"[>.]", path.rpartition(">")[2])[0] in CONTAINERS
+
+
 def host_templates(pages: DataFrame) -> DataFrame:
     """Of each host, the path of the article's slot in its template."""
     classes = equivalence_classes(page_tokens(pages)).groupBy("host")

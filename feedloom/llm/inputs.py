@@ -30,5 +30,5 @@ def slices(batches: Iterator[pd.DataFrame], column: str, chars: int) -> Iterator
     for batch in batches:
         if not len(batch):
             continue
-        sizes = batch[column].str.len().fillna(0).cumsum() // chars
+        sizes = batch[column].map(lambda t: len(t) if isinstance(t, str) else 0).cumsum() // chars
         yield from (run for _, run in batch.groupby(sizes.to_numpy(), sort=False))
