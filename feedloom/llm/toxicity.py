@@ -1,14 +1,16 @@
 """Toxicity with a classifier chain.
 
-The categories stand in a fixed order. The linear model of each reads the words and four-letter
-word starts of the whole text (presence, hashed) and the probabilities of all earlier
+The categories stand in a fixed order. The linear model of each reads which selected terms (words
+and four-letter word starts) the whole text has, and the probabilities of all earlier
 categories. In training, those probabilities come out of fold: a row's are predicted by models
 that did not see it; in scoring they come from the models of all training rows.
 
 Models are fitted on at most ``TRAIN_ROWS`` labelled documents (smallest hash of the id), a
-documented bound; every document is scored, over its whole text.
+documented bound. Spark counts their terms; the ``FEATURES`` terms that tell a category best
+(chi-squared, ties by term) are kept, so what is fitted has a fixed size. Every document is
+scored, over its whole text.
 
-Defined cases: a null or empty text has no features and gets the intercepts' probabilities;
+Defined cases: a null or empty text has no terms and gets the intercepts' probabilities;
 without labelled rows all probabilities are 0; a category with one class in training predicts
 that class; labels that are null or of unknown documents are not used; a document labelled
 twice takes the larger label; repeated rows are scored row by row; further columns are ignored.
@@ -16,19 +18,21 @@ twice takes the larger label; repeated rows are scored row by row; further colum
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.inputs import table
 from feedloom.session import materialize
 
-TRAIN_ROWS = 12_000
-FEATURES = 1 << 17
+TRAIN_ROWS = 10_000
+FEATURES = 256
+MIN_ROWS = 3
 FOLDS = 3
 STEM = 4
+RIDGE = 1.0
+STEPS = 25
 MIN_PROBABILITY = 0.5
 # Words that name a category within the rows labelled toxic.
 CATEGORY_WORDS = {
@@ -45,84 +49,116 @@ def terms(text: Column) -> Column:
     return F.concat(words, F.array_distinct(starts))
 
 
-def features(docs: DataFrame, keep: list[str]) -> DataFrame:
-    hashing = HashingTF(numFeatures=FEATURES, binary=True, inputCol="terms", outputCol="bag")
-    return hashing.transform(docs.select(*keep, terms(F.col("text")).alias("terms"))).drop("terms")
-
-
-def _assembled(rows: DataFrame, earlier: tuple[str, ...]) -> DataFrame:
-    inputs = ["bag", *(f"p_{name}" for name in earlier)]
-    return VectorAssembler(inputCols=inputs, outputCol="features").transform(rows)
-
-
-def _fit(rows: DataFrame, label: str, earlier: tuple[str, ...]) -> LogisticRegressionModel:
-    model = LogisticRegression(labelCol=label, regParam=1e-3, maxIter=20, standardization=False)
-    return model.fit(_assembled(rows, earlier))
-
-
-def _predict(rows: DataFrame, model: LogisticRegressionModel, name: str, earlier: tuple[str, ...]) -> DataFrame:
-    # A model that saw one class knows no other; its probability vector may be shorter.
-    predicted = model.transform(_assembled(rows, earlier))
-    probability = F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0))
-    return predicted.select(*rows.columns, probability.alias(f"p_{name}"))
-
-
-def fit_chain(rows: DataFrame, categories: tuple[str, ...]) -> list[LogisticRegressionModel]:
-    """Models of all categories. ``rows``: bag, fold (0 to FOLDS - 1), a column per category."""
-    models = []
-    for k, name in enumerate(categories):
-        earlier = categories[:k]
-        models.append(_fit(rows, name, earlier))
-        if k + 1 == len(categories):
-            break
-        parts = None
-        for fold in range(FOLDS):
-            inside, outside = rows.where(F.col("fold") == fold), rows.where(F.col("fold") != fold)
-            if not outside.limit(1).count():
-                out = inside.withColumn(f"p_{name}", F.lit(0.0))
-            else:
-                out = _predict(inside, _fit(outside, name, earlier), name, earlier)
-            parts = out if parts is None else parts.unionByName(out)
-        rows = materialize(parts, "toxicity-fold")
-    return models
-
-
-def score_chain(rows: DataFrame, models: list[LogisticRegressionModel], categories: tuple[str, ...]) -> DataFrame:
-    for k, (name, model) in enumerate(zip(categories, models, strict=True)):
-        rows = _predict(rows, model, name, categories[:k])
-    return rows
-
-
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Training rows: the documents of at most ``TRAIN_ROWS`` labels, with a column per category."""
+    """Training rows: terms, fold and a 0/1 column per category, of at most ``TRAIN_ROWS`` labels."""
     chosen = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy(F.col("doc_id").alias("labelled_id"))
-        .agg(F.max("toxic").cast("double").alias("toxic"))
+        .agg(F.max("toxic").cast("int").alias("toxic"))
         .orderBy(F.xxhash64("labelled_id"), "labelled_id")
         .limit(TRAIN_ROWS)
     )
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
     for name, listed in CATEGORY_WORDS.items():
         found = F.lower("text").rlike(rf"\b({'|'.join(listed)})\b")
-        rows = rows.withColumn(name, (F.coalesce(found, F.lit(False)) & (F.col("toxic") > 0)).cast("double"))
-    rows = rows.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)))
-    return features(rows, ["fold", *CATEGORIES])
+        rows = rows.withColumn(name, (F.coalesce(found, F.lit(False)) & (F.col("toxic") > 0)).cast("int"))
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
+    return rows.select(terms(F.col("text")).alias("terms"), fold.alias("fold"), *CATEGORIES)
+
+
+def select_terms(train: DataFrame, rows: int) -> list[str]:
+    """The terms that tell a category best."""
+    sums = [F.sum(name).alias(name) for name in CATEGORIES]
+    total = train.agg(*sums).first()
+    counts = train.select(F.explode("terms").alias("term"), *CATEGORIES).groupBy("term")
+    counts = counts.agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") >= MIN_ROWS)
+    scores = []
+    for name in CATEGORIES:
+        share = total[name] / rows
+        if 0 < share < 1:
+            gap = F.col(name) - F.col("n") * share
+            scores.append(gap * gap / (F.col("n") * share * (1 - share) * (1 - F.col("n") / (rows + 1))))
+    if not scores:
+        return []
+    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
+    return [r["term"] for r in counts.orderBy(best.desc(), "term").limit(FEATURES).select("term").collect()]
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Ridge-penalized logistic regression by Newton steps; the last weight is the intercept."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    weights = np.zeros(x.shape[1])
+    if y.min() == y.max():
+        weights[-1] = np.inf if y.min() else -np.inf
+        return weights
+    penalty = np.full(x.shape[1], RIDGE)
+    penalty[-1] = 1e-6
+    for _ in range(STEPS):
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        step = np.linalg.solve(hessian, x.T @ (y - p) - penalty * weights)
+        weights = weights + step
+        if np.abs(step).max() < 1e-8:
+            break
+    return weights
+
+
+def predict(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    if np.isinf(weights[-1]):
+        return np.full(len(x), float(weights[-1] > 0))
+    return 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -700, 700)))
+
+
+def fit_chain(x: np.ndarray, labels: dict[str, np.ndarray], fold: np.ndarray) -> list[np.ndarray]:
+    """A model per category, in order, each fed with the out-of-fold probabilities of those before."""
+    models = []
+    for y in labels.values():
+        models.append(fit_logistic(x, y))
+        outside = np.zeros(len(y))
+        for k in np.unique(fold):
+            inside = fold == k
+            if not inside.all():
+                outside[inside] = predict(x[inside], fit_logistic(x[~inside], y[~inside]))
+        x = np.hstack([x, outside[:, None]])
+    return models
+
+
+def matrix(hits: pd.Series, place: dict[str, int]) -> np.ndarray:
+    out = np.zeros((len(hits), len(place)))
+    for k, found in enumerate(hits):
+        out[k, [place[term] for term in found]] = 1
+    return out
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns of every document, and a probability per category in ``p_`` columns."""
-    train = materialize(labelled(docs, labels), "toxicity-train").cache()
+    train = materialize(labelled(docs, labels), "toxicity-train")
     own = docs.select(F.struct(*keep).alias("own"), "text")
-    if not train.limit(1).count():
+    rows = train.count()
+    if not rows:
         return own.select("own", *(F.lit(0.0).alias(f"p_{name}") for name in CATEGORIES))
-    models = fit_chain(train, CATEGORIES)
-    train.unpersist()
-    return score_chain(features(own, ["own"]), models, CATEGORIES).drop("bag")
+    chosen = select_terms(train, rows)
+    place = {term: k for k, term in enumerate(chosen)}
+    listed = F.array(*map(F.lit, chosen)).cast("array<string>")
+    hits = F.array_intersect("terms", listed)
+    sample = train.select(hits.alias("hits"), "fold", *CATEGORIES).toArrow().to_pandas()  # TRAIN_ROWS at most
+    answers = {name: sample[name].to_numpy(dtype=float) for name in CATEGORIES}
+    models = fit_chain(matrix(sample["hits"], place), answers, sample["fold"].to_numpy())
+
+    @F.pandas_udf(", ".join(f"p_{name} double" for name in CATEGORIES))
+    def chain(found: pd.Series) -> pd.DataFrame:
+        x, out = matrix(found, place), {}
+        for name, weights in zip(CATEGORIES, models, strict=True):
+            out[f"p_{name}"] = predict(x, weights)
+            x = np.hstack([x, out[f"p_{name}"][:, None]])
+        return pd.DataFrame(out)
+
+    found = own.select("own", terms(F.col("text")).alias("terms")).select("own", chain(hits).alias("p"))
+    return found.select("own", "p.*")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = score_toxicity(docs.select("doc_id", "text"), labels, ["doc_id"])
     probabilities = [F.col(f"p_{name}") for name in CATEGORIES]
-    return scored.select(F.col("own.doc_id").alias("doc_id"), *probabilities, (F.col("p_toxic") >= MIN_PROBABILITY).alias("toxic"))
+    return scored.select("own.doc_id", *probabilities, (F.col("p_toxic") >= MIN_PROBABILITY).alias("toxic"))
