@@ -38,6 +38,19 @@ FETCH_FAILED_MESSAGE = "HTTP fetch failed for source %1$s: %2$s"
 
 # Fetch retries.
 RETRYABLE_STATUS_CODES = (429, 500, 502, 503, 504)
+# Error kinds that another attempt may cure: client, I/O, timeout and interrupt errors.
+RETRYABLE_KINDS = (
+    "HttpClientException",
+    "ReadTimeoutException",
+    "IOException",
+    "ConnectException",
+    "EOFException",
+    "SocketException",
+    "SocketTimeoutException",
+    "UnknownHostException",
+    "TimeoutException",
+    "InterruptedException",
+)
 DEFAULT_MAX_RETRIES = 3
 
 # Text and vector defaults.
@@ -50,6 +63,8 @@ EMBEDDING_MODEL = "text-embedding-3-small"
 # Model request and reply texts.
 SENTIMENT_SYSTEM_TEXT = "Classify news sentiment as positive, negative, or neutral. Return only JSON."
 SENTIMENT_USER_TEXT = 'Return exactly this JSON shape: {"sentiment":"positive|negative|neutral"}\n\n'
+
+# Own wording: what is wrong with an embedding reply.
 EMBEDDING_STATUS_MESSAGE = "Embedding request failed with status %1$s: %2$s"
 EMBEDDING_MISSING_MESSAGE = "Embedding reply is missing"
 EMBEDDING_JSON_MESSAGE = "Could not read embedding reply"

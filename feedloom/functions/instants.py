@@ -14,7 +14,7 @@ from feedloom.functions.text import col_of
 ISO_INSTANT = (
     r"^-?\d{4}-\d{2}-\d{2}T"
     r"(24:00:00(\.0{1,9})?|23:59:60(\.\d{1,9})?|([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d{1,9})?)"
-    r"(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"
+    r"(Z|[+-]\d{2}:\d{2}(:\d{2})?)\z"
 )
 
 

@@ -15,10 +15,14 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import col_of, has_text, java_trim
+from feedloom.functions.text import col_of, has_text, is_blank, java_trim
 
-_PLAIN_KEY = r"^[A-Za-z0-9_-]+$"
-_INDEX = r"^[+-]?[0-9]{1,10}$"
+_PLAIN_KEY = "[A-Za-z0-9_-]+"
+_INDEX = "[+-]?[0-9]{1,10}"
+
+
+def _whole(pattern: str) -> str:
+    return rf"\A{pattern}\z"
 
 
 def parse_body(body: str | Column) -> Column:
@@ -37,17 +41,17 @@ def path_segments(path: str | Column) -> Column:
 
 def _segments_of(path: str) -> list[str] | None:
     trimmed = path.strip("".join(map(chr, range(33))))
-    if not trimmed or trimmed.isspace():
+    if is_blank(trimmed):
         return None
     if trimmed == "$":
         return []
-    return [s for s in trimmed.removeprefix("$.").split(".") if s and not s.isspace()]
+    return [s for s in trimmed.removeprefix("$.").split(".") if not is_blank(s)]
 
 
 def _member(current: Column, key: Column) -> Column:
     """Value under an object key. Keys outside the path grammar go through a map cast."""
     return F.when(
-        key.rlike(_PLAIN_KEY), F.try_variant_get(current, F.concat(F.lit("$."), key), "variant")
+        key.rlike(_whole(_PLAIN_KEY)), F.try_variant_get(current, F.concat(F.lit("$."), key), "variant")
     ).otherwise(F.element_at(F.try_variant_get(current, F.lit("$"), "map<string,variant>"), key))
 
 
@@ -55,7 +59,7 @@ def _element(current: Column, key: Column) -> Column:
     """Array element for a key that reads as an index; an object never answers to it."""
     index = key.try_cast("int")
     return F.when(
-        key.rlike(_INDEX) & (index >= 0),
+        key.rlike(_whole(_INDEX)) & (index >= 0),
         F.try_variant_get(current, F.concat(F.lit("$["), index.cast("string"), F.lit("]")), "variant"),
     )
 
@@ -82,7 +86,7 @@ def path_get(value: str | Column, path: str | Column) -> Column:
     current = col_of(value)
     plain = ""
     for segment in segments:
-        if re.match(_PLAIN_KEY, segment) and not re.match(_INDEX, segment):
+        if re.fullmatch(_PLAIN_KEY, segment) and not re.fullmatch(_INDEX, segment):
             plain += f".{segment}"
             continue
         if plain:

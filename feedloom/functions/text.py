@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from feedloom.fixed_values import EMPTY_ARTICLE_TEXT
 
 
+# What Java takes as white space (no-break spaces are text).
+JAVA_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2008\u2009\u200a\u2028\u2029\u205f\u3000"
+
+
+def is_blank(text: str | None) -> bool:
+    """The opposite of ``has_text`` for a Python string."""
+    return text is None or not text.strip(JAVA_BLANKS)
+
+
 def col_of(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 

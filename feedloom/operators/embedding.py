@@ -99,9 +99,15 @@ def apply_embedding_responses(
 ) -> DataFrame:
     """Attach reply vectors; an unusable or missing reply sets ``embedding_error`` (no fallback).
 
-    ``responses`` holds one reply per ``doc_id``.
+    Should one document have several replies, a usable one comes first and of those the one
+    with the smallest text holds, so that no article is repeated.
     """
-    replies = read_embedding_replies(responses, dim).withColumn("_found", F.lit(True))
+    read = read_embedding_replies(responses, dim)
+    reply = F.struct("embedding", "embedding_error")
+    order = F.struct(F.col("embedding_error").isNotNull(), F.col("embedding").cast("string"), "embedding_error")
+    replies = (
+        read.groupBy("doc_id").agg(F.min_by(reply, order).alias("_reply")).select("doc_id", "_reply.*", F.lit(True).alias("_found"))
+    )
     return join_skewed(articles, replies, "doc_id", "left", heavy).select(
         *articles.columns,
         "embedding",

@@ -2,26 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.fixed_values import DEFAULT_MAX_RETRIES, FETCH_FAILED_MESSAGE, RETRYABLE_STATUS_CODES
+from feedloom.fixed_values import (
+    DEFAULT_MAX_RETRIES,
+    FETCH_FAILED_MESSAGE,
+    RETRYABLE_KINDS,
+    RETRYABLE_STATUS_CODES,
+)
 from feedloom.functions.text import error_text
 
 
-def fetch_outcomes(attempts: DataFrame, max_retries: int = DEFAULT_MAX_RETRIES) -> DataFrame:
+def fetch_outcomes(
+    attempts: DataFrame, max_retries: int = DEFAULT_MAX_RETRIES, retryable_kinds: Sequence[str] = RETRYABLE_KINDS
+) -> DataFrame:
     """Outcome per (run_id, source): the attempt that ended the retry loop decides.
 
     An attempt is a success when its status is 2xx and no ``error_kind`` is set. Failures
-    without a status (client, I/O, timeout) and the retryable statuses go on to the next
-    attempt, up to ``max_retries + 1``; any other failure ends the loop at once.
+    without a status whose kind is one of ``retryable_kinds`` (client, I/O, timeout and
+    interrupt errors) and the retryable statuses go on to the next attempt, up to
+    ``max_retries + 1``; any other failure ends the loop at once.
 
     ``min_by`` and ``max_by`` combine before the shuffle, so a source with very many
     attempts sends one row per task.
     """
     last_allowed = max(0, max_retries) + 1
-    ok = F.col("error_kind").isNull() & F.col("status").between(200, 299)
-    retryable = F.col("status").isNull() | F.col("status").isin(*RETRYABLE_STATUS_CODES)
+    ok = F.col("error_kind").isNull() & F.coalesce(F.col("status").between(200, 299), F.lit(False))
+    by_kind = F.col("status").isNull() & F.coalesce(F.col("error_kind").isin(*retryable_kinds), F.lit(False))
+    retryable = by_kind | F.coalesce(F.col("status").isin(*RETRYABLE_STATUS_CODES), F.lit(False))
     reason = F.when(
         F.col("status").isNotNull(), F.format_string("HTTP %d %s", "status", F.coalesce("message", F.lit("")))
     ).otherwise(error_text("message", "error_kind"))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # A side is broadcast only after a count has shown that it is no longer than this.
 BROADCAST_ROWS = 100_000
-# The heaviest keys are looked up in a list of at most this many rows.
-HEAVY_KEYS = 1_000
+# Keys with more rows than this are spread over tasks. There can be no more of them than all
+# rows divided by it.
 HEAVY_ROWS = 1_000_000
 SALTS = 32
 
@@ -28,14 +28,12 @@ def join_small(
 
 
 def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Keys with more than ``heavy_rows`` rows, heaviest first, at most ``HEAVY_KEYS`` of them."""
+    """All keys with more than ``heavy_rows`` rows."""
     return (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > heavy_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(HEAVY_KEYS)
         .select(key)
     )
 
@@ -47,24 +45,26 @@ def join_skewed(
     how: str = "inner",
     heavy: DataFrame | None = None,
     salts: int = SALTS,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Equi-join whose left side may hold very many rows of one key.
 
     The left rows of ``heavy`` keys (found by ``heavy_keys`` unless given; a short list, so
-    it is safe to broadcast) are spread over ``salts`` tasks by a hash of the whole row,
-    and their right rows are repeated per salt. All other keys join as usual. ``how`` is
+    it is safe to broadcast) and those without a key, which match nothing, are spread over
+    ``salts`` tasks by a hash of the row and its number in its task, so that exact copies
+    part as well. The right rows of heavy keys are repeated per salt. All other keys join as usual. ``how`` is
     inner, left, left_semi or left_anti.
 
     Finding heavy keys reads the key column of ``left`` once more: pass a stored table
     where ``left`` is costly to compute, or the keys where they are known.
     """
-    heavy = heavy_keys(left, on) if heavy is None else heavy
+    heavy = heavy_keys(left, on, heavy_rows) if heavy is None else heavy
     flagged = F.broadcast(heavy.select(on, F.lit(True).alias("_heavy")))
     is_heavy = F.coalesce(F.col("_heavy"), F.lit(False))
     hashable = [F.col(f.name) for f in left.schema.fields if f.dataType.typeName() not in ("variant", "map")]
     salted_left = left.join(flagged, on, "left").select(
         *left.columns,
-        F.when(is_heavy, F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")).otherwise(0).alias("_salt"),
+        F.when(is_heavy | F.col(on).isNull(), F.pmod(F.xxhash64(*hashable, F.monotonically_increasing_id()), F.lit(salts)).cast("int")).otherwise(0).alias("_salt"),
     )
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     salted_right = right.join(flagged, on, "left").select(

@@ -135,10 +135,12 @@ def failed_source_metrics(failures: DataFrame, run_at: str | datetime | Column)
     )
 
 
-def source_summary(metrics: DataFrame) -> DataFrame:
-    """The reply row per source; failed requests and the message appear on failures only."""
+def source_summary(metrics: DataFrame, *keys: str) -> DataFrame:
+    """The reply row per source (after ``keys``); failed requests and the message appear on
+    failures only."""
     failed = F.col("status") == METRICS_FAILED
     return metrics.select(
+        *keys,
         "source",
         F.when(failed, SUMMARY_FAILED).otherwise(SUMMARY_OK).alias("status"),
         "fetched_count",

@@ -92,6 +92,7 @@ def normalize_generic(items: DataFrame, run_at: str | datetime | Column) -> Data
     return items.select(
         *KEYS,
         "error_message",
+        "fetched_at",
         has_text("raw_title").alias("kept"),
         F.col("raw_url").alias("external_id"),
         F.col("raw_title").alias("title"),
@@ -137,6 +138,7 @@ def normalize_typed(
     )
     return items.filter(has_text("item.title") & has_text("item.url")).select(
         *KEYS,
+        "fetched_at",
         F.col("item.url").alias("external_id"),
         F.col("item.title").alias("title"),
         first_text("item.content", "item.description", F.lit("")).alias("content"),

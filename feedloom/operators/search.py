@@ -23,7 +23,7 @@ from feedloom.fixed_values import (
     PAGE_SIZE_MESSAGE,
 )
 from feedloom.functions.instants import iso_instant
-from feedloom.functions.text import has_text
+from feedloom.functions.text import has_text, is_blank
 from feedloom.functions.vectors import hashed_vector
 from feedloom.operators.embedding import with_query_embedding
 from feedloom.operators.joins import BROADCAST_ROWS, fits, join_skewed
@@ -86,7 +86,7 @@ def search(
     index: DataFrame, q: str | None, size: int = DEFAULT_SIZE, min_score: float | None = None, *, dim: int
 ) -> DataFrame:
     """Ranked results of one query string; wrong arguments raise ``ValueError``."""
-    if q is None or not q.strip():
+    if is_blank(q):
         raise ValueError(BAD_QUERY_MESSAGE)
     if not MIN_SIZE <= size <= MAX_SIZE:
         raise ValueError(BAD_SIZE_MESSAGE)
@@ -98,8 +98,9 @@ def search(
 
 
 def search_batch(index: DataFrame, requests: DataFrame, *, dim: int) -> DataFrame:
-    """Results of a table of valid requests: ``request_id``, ``rank`` and the result fields."""
-    asked = requests.select("request_id", "q", "size", "min_score")
+    """Results of the requests that ``check_search_args`` accepts: ``request_id``, ``rank`` and the
+    result fields. Rejected requests have no results; ``rejected`` lists them."""
+    asked = accepted(check_search_args(requests.select("request_id", "q", "size", "min_score")))
     vectors = with_query_embedding(asked.select("request_id", "q"), dim)
     best = knn_batch(index, vectors, MAX_SIZE, dim, query_key="request_id")
     few = fits(asked, BROADCAST_ROWS // MAX_SIZE)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.fixed_values import (
-    DEFAULT_MAX_TEXT_CHARS,
     NEGATIVE_KEYWORDS,
     POSITIVE_KEYWORDS,
     SENTIMENT_MODEL,
@@ -29,14 +28,18 @@ def with_keyword_sentiment(
 
 
 def sentiment_requests(
-    articles: DataFrame, model: str = SENTIMENT_MODEL, max_chars: int = DEFAULT_MAX_TEXT_CHARS
+    articles: DataFrame, model: str = SENTIMENT_MODEL, max_chars: int | None = None
 ) -> DataFrame:
-    """One request payload per article, for an offline run of the model."""
+    """One request payload per article, for an offline run of the model.
+
+    ``max_chars`` is the model's input limit, if it has one.
+    """
 
     def message(role: str, content: Column) -> Column:
         return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
-    text = truncate(model_sentiment_text("title", "content"), max_chars)
+    text = model_sentiment_text("title", "content")
+    text = text if max_chars is None else truncate(text, max_chars)
     payload = F.struct(
         F.lit(model).alias("model"),
         F.lit(0).alias("temperature"),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ORDER = ("source_ord", "response_no", "pos")
+# Runs follow each other by the time they fetched.
+RUN_ORDER = ("fetched_at", "run_id", *ORDER)
 
 
 def to_document(enriched: DataFrame) -> DataFrame:
@@ -44,9 +46,10 @@ def indexing_summary(index_ids: DataFrame, writes: DataFrame) -> DataFrame:
     ``writes`` holds every write in order, repeats included; ``index_ids`` the ids before
     the run. The first write of an unknown id creates it; all others update.
     """
+    order = [c for c in RUN_ORDER if c in writes.columns]
     per_source = writes.groupBy("run_id", "source_name").agg(F.count(F.lit(1)).alias("indexed_count"))
     first_writer = writes.groupBy("doc_id").agg(
-        F.min(F.struct(*ORDER, "run_id", "source_name")).alias("first")
+        F.min(F.struct(*order, *[c for c in ("run_id", "source_name") if c not in order])).alias("first")
     )
     created = (
         first_writer.join(index_ids.select("doc_id"), "doc_id", "left_anti")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom.fixed_values import (
     DEFAULT_DIMENSION,
+    DEFAULT_MAX_TEXT_CHARS,
     EMBEDDING_DIM_MESSAGE,
     EMBEDDING_EMPTY_MESSAGE,
     EMBEDDING_MISSING_MESSAGE,
@@ -89,7 +90,7 @@ FROM articles
 """
 )
 def sentiment_model_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests = sentiment_requests(I.keyed_articles(spark, sf_dir))
+    requests = sentiment_requests(I.keyed_articles(spark, sf_dir), max_chars=DEFAULT_MAX_TEXT_CHARS)
     payload = F.from_json(
         "request",
         "model string, temperature bigint, max_tokens bigint, response_format struct<type: string>,"

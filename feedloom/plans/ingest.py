@@ -9,11 +9,11 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.config import enabled_sources, require_sources, source_config
+from feedloom.operators.config import check_config, enabled_sources, require_sources, source_config
 from feedloom.operators.enrich import enrich, source_atomic_gate, source_failures
 from feedloom.operators.metrics import RUN_KEYS, run_summary, source_metrics, source_summary
 from feedloom.operators.normalize import flatten_responses, normalize_generic
-from feedloom.operators.upsert import indexing_summary, latest_per_key, to_document
+from feedloom.operators.upsert import RUN_ORDER, indexing_summary, latest_per_key, to_document
 from feedloom.session import materialize
 from feedloom.sources.article_index import ArticleIndex, Commit
 from feedloom.sources.run_log import append_metrics, batch_recorded
@@ -76,6 +76,13 @@ def failures_of(items: DataFrame, fetch_failures: DataFrame | None = None) -> Da
     return found.groupBy(*RUN_KEYS).agg(F.min_by("error_message", "_stage").alias("error_message"))
 
 
+def misconfigured(sources: DataFrame, runs: list[str]) -> DataFrame:
+    """A failure of every wrongly configured source in each run, whether it answered or not."""
+    wrong = check_config(sources).where("error_message IS NOT NULL")
+    run_ids = F.array(*map(F.lit, runs)).cast("array<string>")
+    return wrong.select(F.explode(run_ids).alias("run_id"), F.col("name").alias("source_name"), "error_message")
+
+
 def ingest(
     raw: DataFrame,
     config: DataFrame,
@@ -96,9 +103,17 @@ def ingest(
     failure gate read columns of that copy. With a ``batch_id`` the run may be repeated:
     the index takes a batch once and so does the run log. ``sink`` receives the merged
     documents instead of the index, for a store of the caller's own.
+
+    ``raw`` may hold several runs: of two writes of a document, the one fetched later holds.
+    Responses without a run belong to the run named like the batch, or like ``run_at``. The
+    summary has a row per run.
     """
     spark = raw.sparkSession
     run_at = run_at or datetime.now(UTC)
+    own_run = F.coalesce("run_id", F.lit(batch_id or run_at.isoformat()))
+    raw = raw.withColumn("run_id", own_run)
+    if fetch_failures is not None:
+        fetch_failures = fetch_failures.withColumn("run_id", own_run)
     sources = require_sources(enabled_sources(source_config(config)))
     commit = index.commit() or index.create()
     done = index.commit_of_batch(batch_id) if batch_id is not None else None
@@ -106,14 +121,19 @@ def ingest(
     default = published_default if published_default is not None else F.lit(run_at).cast("timestamp")
     items = materialize(process(raw, sources, default, commit.dim, parser=parser, **enrichment), "items")
 
-    failures = materialize(failures_of(items, fetch_failures), "failures")
+    # One value per run of the batch.
+    runs = sorted(r["run_id"] for r in items.select("run_id").distinct().collect())
+    known = misconfigured(sources, runs or [batch_id or run_at.isoformat()])
+    early = known if fetch_failures is None else known.unionByName(fetch_failures.select(*RUN_KEYS, "error_message"))
+    early = early.groupBy(*RUN_KEYS).agg(F.min("error_message").alias("error_message"))
+    failures = materialize(failures_of(items, early), "failures")
     writes = source_atomic_gate(items.filter("kept"), failures)
     before = index.read(done.version - 1 if done else None)
-    order = (*RUN_KEYS, "source_ord", "response_no", "pos", "doc_id")
+    order = ("source_name", *RUN_ORDER, "doc_id")
     summary = indexing_summary(before.select("doc_id"), writes.select(*order))
     metrics = materialize(source_metrics(items, summary, failures, run_at), "metrics")
 
-    documents = to_document(latest_per_key(writes))
+    documents = to_document(latest_per_key(writes, order=RUN_ORDER))
     if sink is not None:
         sink(documents)
         committed = None
@@ -121,5 +141,5 @@ def ingest(
         committed = index.upsert(documents, batch_id)
     if batch_id is None or not batch_recorded(spark, metrics_path, batch_id):
         append_metrics(metrics, metrics_path, batch_id)
-    replies = source_summary(metrics)
-    return RunResult(metrics, replies, run_summary(replies), committed)
+    replies = source_summary(metrics, "run_id")
+    return RunResult(metrics, replies, run_summary(replies, "run_id"), committed)

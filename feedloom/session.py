@@ -31,9 +31,14 @@ def build_session(app_name: str = "feedloom", master: str | None = None, **conf:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only where the cluster names none (tests) is a local folder made up.
+    ``SparkContext.setCheckpointDir`` counts as well. Only a local session, where all share one
+    disk, may do without either.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feedloom-")
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    root = root or tempfile.mkdtemp(prefix="feedloom-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

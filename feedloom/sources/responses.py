@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedloom import schemas
 
@@ -15,8 +16,12 @@ def raw_responses(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
 def raw_response_stream(
     spark: SparkSession, path: str, fmt: str = "json", max_files: int | None = None
 ) -> DataFrame:
-    """The same as a stream over new files of a landing folder."""
+    """The same as a stream over new files of a landing folder.
+
+    A body without a fetch time gets the time its file was written.
+    """
     reader = spark.readStream.schema(schemas.RAW_RESPONSE).format(fmt)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    written = F.col("_metadata.file_modification_time")
+    return reader.load(path).withColumn("fetched_at", F.coalesce("fetched_at", written))

@@ -26,20 +26,19 @@ def ingest_stream(
     name: str = "ingest",
     fmt: str = "json",
     max_files: int | None = None,
-    stop_on_error: bool = False,
+    stop_on_error: bool = True,
     **options,
 ) -> StreamingQuery:
     """Ingest every response file that has not been ingested yet, then stop.
 
     Run it as often as the sources are fetched. The checkpoint hands each file to one
     batch; a batch that is replayed after a crash carries the same id and is taken once.
-    A failed run is logged and the next one goes on, unless ``stop_on_error``. Texts
-    without a publication time get the time their response was fetched, so a replay
+    A failed batch raises, and its files are ingested by the next call. Without
+    ``stop_on_error`` it is logged and passed over for good. Texts without a publication
+    time get the time their response was fetched (or its file was written), so a replay
     gives the same documents.
     """
 
-    fetched = F.coalesce("fetched_at", F.current_timestamp())
-
     def run(batch: DataFrame, epoch: int) -> None:
         try:
             ingest(
@@ -48,7 +47,7 @@ def ingest_stream(
                 index,
                 metrics_path,
                 batch_id=f"{name}-{epoch}",
-                **{"published_default": fetched, **options},
+                **{"published_default": F.col("fetched_at"), **options},
             )
         except Exception:
             if stop_on_error:

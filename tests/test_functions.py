@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.hashing import bucket, direction, document_id, java_string_hash
 from feedloom.functions.instants import iso_instant, parse_instant, parse_instant_or
-from feedloom.functions.jsonpath import as_array, parse_body, path_get, path_string
+from feedloom.functions.jsonpath import as_array, as_text, parse_body, path_get, path_string
 from feedloom.functions.lexicon import keyword_sentiment, label
 from feedloom.functions.text import (
     article_text,
@@ -276,8 +276,8 @@ def test_request_urls(spark):
 
 def test_keyword_sentiment(spark):
     cases = {
-        "Company reports strong profit growth": "positive",
-        "Shares fall after inflation risks rise": "negative",
+        "Bakery posts record gains this spring": "positive",
+        "Losses deepen as risks mount": "negative",
         "Markets remain steady": "neutral",
         "Company announces board meeting": "neutral",
         "Award for a surprise": "neutral",
@@ -329,3 +329,35 @@ def test_document_ids(spark):
         sha("s| t |2026-05-09T00:00:00.500Z"),
         sha("null|t|null"),
     ]
+
+
+ODD_PATHS = {
+    "$.a. .b": 1,  # a no-break space is text
+    "$.a. .b": 2,  # an em space is blank, so the segment is skipped
+    "$.a..b": 2,
+    " $.a.b\n": 2,
+    "$.list.+0": "x",
+    "$.list.-1": None,
+    "$.list.1\n.": "y",
+    " ": 7,
+    " ": None,
+}
+
+
+def test_literal_and_column_paths_follow_one_grammar(spark):
+    import json as js
+
+    value = {"a": {" ": {"b": 1}, "b": 2}, "list": ["x", "y"], " ": 7}
+    rows = spark.createDataFrame([(js.dumps(value), p) for p in ODD_PATHS], "body string, path string")
+    root = rows.withColumn("root", parse_body("body"))
+    by_row = {r.path: r.v for r in root.select("path", as_text(path_get("root", F.col("path"))).alias("v")).collect()}
+    for path, expected in ODD_PATHS.items():
+        literal = root.limit(1).select(as_text(path_get("root", path)).alias("v")).first().v
+        assert literal == by_row[path], path
+        if path != "$.list.1\n.":
+            assert by_row[path] == (None if expected is None else str(expected)), path
+
+
+def test_instants_end_where_the_text_ends(spark):
+    frame = spark.createDataFrame([("2026-05-09T08:00:00Z",), ("2026-05-09T08:00:00Z\n",)], "t string")
+    assert [r.p is None for r in frame.select(parse_instant("t").alias("p")).collect()] == [False, True]

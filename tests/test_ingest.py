@@ -193,9 +193,66 @@ def test_failed_stream_run_is_logged_and_the_next_one_goes_on(spark, store):
     root = scratch_dir(spark, "stream-test")
     off = config_of(spark, "a").withColumn("enabled", F.lit(False))
     raw_of(spark, ("a", body(article(1)))).write.json(f"{root}/landing")
-    ingest_stream(spark, f"{root}/landing", off, index, metrics, f"{root}/cp").awaitTermination()
+    ingest_stream(
+        spark, f"{root}/landing", off, index, metrics, f"{root}/cp", stop_on_error=False
+    ).awaitTermination()
     raw_of(spark, ("a", body(article(2)))).write.mode("append").json(f"{root}/landing")
     ingest_stream(
         spark, f"{root}/landing", config_of(spark, "a"), index, metrics, f"{root}/cp"
     ).awaitTermination()
     assert [r.url for r in index.read().collect()] == ["https://x/2"]
+
+
+def test_the_later_run_wins_whatever_its_positions(spark, store):
+    index, metrics = store
+    later = datetime(2026, 5, 10, 8, tzinfo=UTC)
+    old = ("r1", "a", 5, 1, body(article(9), article(1, title="OLD")), RUN_AT)
+    new = ("r0", "a", 0, 0, body(article(1, title="NEW")), later)
+    raw = spark.createDataFrame([old, new], schemas.RAW_RESPONSE)
+    result = ingest(raw, config_of(spark, "a"), index, metrics, run_at=RUN_AT)
+    assert index.read().filter("url = 'https://x/1'").first().title == "NEW"
+    totals = {r.run_id: (r.created_count, r.updated_count, r.source_count) for r in result.summary.collect()}
+    assert totals == {"r1": (2, 0, 1), "r0": (0, 1, 1)}
+
+
+def test_responses_without_a_run_are_counted(spark, store):
+    index, metrics = store
+    raw = raw_of(spark, ("good", body(article(1), article(2))), ("broken", "{"), run=None)
+    result = ingest(raw, config_of(spark, "good", "broken"), index, metrics, run_at=RUN_AT, batch_id="b7")
+    rows = {r.source: r for r in result.metrics.collect()}
+    assert len(rows) == 2 and {r.run_id for r in rows.values()} == {"b7"}
+    assert (rows["good"].indexed_count, rows["good"].created_count, rows["good"].failed_requests) == (2, 2, 0)
+    assert (rows["broken"].status, rows["broken"].failed_requests) == ("FAILED", 1)
+    total = result.summary.first()
+    assert (total.status, total.source_count) == ("partial", 2)
+
+
+def test_a_wrongly_configured_source_fails_without_a_response(spark, store):
+    index, metrics = store
+    rows = [
+        ("good", None, None, "http://x", None, None, None, None, MAPPING),
+        ("posts", None, None, "http://x", "POST", None, None, None, MAPPING),
+    ]
+    config = source_config(spark.createDataFrame(rows, schemas.SOURCE_CONFIG))
+    result = ingest(raw_of(spark, ("good", body(article(1)))), config, index, metrics, run_at=RUN_AT)
+    found = {r.source: r.status for r in result.metrics.collect()}
+    assert found == {"good": "SUCCESS", "posts": "FAILED"}
+    total = result.summary.first()
+    assert (total.status, total.source_count) == ("partial", 2)
+
+
+def test_a_failed_batch_comes_in_with_the_next_call(spark, store):
+    index, metrics = store
+    root = scratch_dir(spark, "retry")
+    raw_of(spark, ("a", body(article(1)))).write.json(f"{root}/landing")
+    config = config_of(spark, "a")
+    args = (spark, f"{root}/landing", config, index, metrics, f"{root}/checkpoint")
+
+    def fails(*_):
+        raise RuntimeError("no parser today")
+
+    with pytest.raises(Exception, match="no parser today"):
+        ingest_stream(*args, parser=fails).awaitTermination()
+    assert index.count() == 0
+    ingest_stream(*args).awaitTermination()
+    assert index.count() == 1

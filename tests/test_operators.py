@@ -221,7 +221,7 @@ def reply(content):
 
 def test_sentiment_replies_and_fallbacks(spark):
     good = {w: ("Markets remain steady", 200, reply(json.dumps({"sentiment": w})), w) for w in ("positive", "negative", "neutral")}
-    up, down = "Company reports strong profit growth", "Shares fall after inflation risks rise"
+    up, down = "Bakery posts record gains this spring", "Losses deepen as risks mount"
     cases = {
         **good,
         "upper": (down, 200, reply('{"sentiment":"POSITIVE"}'), "positive"),
@@ -525,3 +525,39 @@ def test_display_fields(spark):
     ).collect()
     empty = ("Untitled article", "Unknown source", None, "neutral", "No timestamp", "Score n/a")
     assert [tuple(r) for r in shown] == [("T", "S", "u", "positive", "2026", "Score 0.420"), empty, empty]
+
+
+def test_failures_of_other_kinds_end_the_loop(spark):
+    rows = [
+        ("io", 1, None, "IOException", "reset"), ("io", 2, 200, None, None),
+        ("own", 1, None, "IllegalStateException", "bad"), ("own", 2, 200, None, None),
+        ("none", 1, None, None, "?"), ("none", 2, 200, None, None),
+    ]
+    got = outcomes(spark, rows, 3)
+    assert got["io"][:2] == (True, 2)
+    assert got["own"][:2] == (False, 1) and got["none"][:2] == (False, 1)
+
+
+def test_repeated_embedding_replies_do_not_repeat_articles(spark):
+    from feedloom.operators.embedding import apply_embedding_responses
+
+    good, bad = '{"data":[{"embedding":[1.0,2.0]}]}', '{"data":[]}'
+    replies = spark.createDataFrame(
+        [("d1", 500, bad), ("d1", 200, good), ("d1", 200, good), ("d2", 500, bad), ("d2", 200, bad)],
+        "doc_id string, status int, body string",
+    )
+    articles = spark.createDataFrame([("d1",), ("d2",), ("d3",)], "doc_id string")
+    got = {r.doc_id: r for r in apply_embedding_responses(articles, replies, 2).collect()}
+    assert len(got) == apply_embedding_responses(articles, replies, 2).count() == 3
+    assert got["d1"].embedding == [1.0, 2.0] and got["d1"].embedding_error is None
+    assert got["d2"].embedding is None and got["d2"].embedding_error
+
+
+def test_salted_join_spreads_copies_and_missing_keys(spark):
+    from feedloom.operators.joins import join_skewed
+
+    left = spark.createDataFrame([("hot", "same")] * 200 + [(None, "same")] * 200 + [("b", "x")], "k string, v string")
+    right = spark.createDataFrame([("hot", 1), ("b", 2), (None, 3)], "k string, w int")
+    for how, rows in (("inner", 201), ("left", 401), ("left_semi", 201), ("left_anti", 200)):
+        joined = join_skewed(left, right, "k", how, salts=8, heavy_rows=100)
+        assert joined.count() == rows, how
