@@ -19,6 +19,9 @@ from feedloom.functions.vectors import SCORE_DIGITS
 
 # Query vectors up to this size travel to every executor; more go through the grid.
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
+# A worker holds k entries (place, score, id as text, copies while merging) for every query it got.
+HELD_BYTES = 512 * 1024 * 1024
+ENTRY_BYTES = 1024
 # Size of an index block of the grid, per task.
 INDEX_BLOCK_BYTES = 128 * 1024 * 1024
 
@@ -109,16 +112,17 @@ def knn_batch(
     query_key: str = "query_id",
     query_block_bytes: int = QUERY_BLOCK_BYTES,
     index_block_bytes: int = INDEX_BLOCK_BYTES,
+    held_bytes: int = HELD_BYTES,
 ) -> DataFrame:
     """The ``k`` nearest documents of every query: query key, document key, score, rank.
 
-    Queries that fit ``query_block_bytes`` are sent to the executors and the index is
+    Queries that fit ``query_block_bytes``, and whose best ``k`` fit ``held_bytes``, are sent to the executors and the index is
     scanned once, without an exchange. Larger query tables are cut, like the index, into
     hashed blocks; each task scores one index block against one query block.
     """
     index = index.select(key, "embedding").filter(F.size("embedding") == dim)
     queries = queries.select(query_key, "embedding").filter(F.size("embedding") == dim)
-    max_queries = max(1, query_block_bytes // (8 * dim))
+    max_queries = max(1, min(query_block_bytes // (8 * dim), held_bytes // (ENTRY_BYTES * max(1, k))))
     block = queries.limit(max_queries + 1).toArrow()
     out = T.StructType(
         [

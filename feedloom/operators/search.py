@@ -93,8 +93,10 @@ def search(
     if min_score is not None and min_score < 0:
         raise ValueError(BAD_MIN_SCORE_MESSAGE)
     vector = query_vector(index.sparkSession, q, dim)
-    stored = index.select("doc_id", *METADATA, "embedding")
-    return search_projection(min_score_filter(knn(stored, vector, size), min_score))
+    best = min_score_filter(knn(index.select("doc_id", "embedding"), vector, size), min_score)
+    # Only the hits' metadata are read: at most MAX_SIZE rows travel to that scan.
+    found = index.select("doc_id", *METADATA).join(F.broadcast(best), "doc_id")
+    return search_projection(found.orderBy(F.desc("score"), "doc_id"))
 
 
 def search_batch(index: DataFrame, requests: DataFrame, *, dim: int) -> DataFrame:

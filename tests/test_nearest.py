@@ -50,11 +50,19 @@ def test_builtin_score_agrees(vectors, brute):
     assert [(r.doc_id, r.score) for r in top] == brute(query, 9)
 
 
-@pytest.mark.parametrize("block_bytes", [64 * 1024 * 1024, 40 * 8 * DIM])
-def test_batch_equals_brute_force_on_both_paths(vectors, brute, block_bytes):
+@pytest.mark.parametrize(
+    ("block_bytes", "held_bytes"), [(1 << 26, 1 << 29), (40 * 8 * DIM, 1 << 29), (1 << 26, 4 * 30 * 1024)]
+)
+def test_batch_equals_brute_force_on_both_paths(vectors, brute, block_bytes, held_bytes):
     queries = vectors.withColumnRenamed("doc_id", "query_id")
     hits = knn_batch(
-        vectors.repartition(7), queries, 4, DIM, query_block_bytes=block_bytes, index_block_bytes=60 * 8 * DIM
+        vectors.repartition(7),
+        queries,
+        4,
+        DIM,
+        query_block_bytes=block_bytes,
+        index_block_bytes=60 * 8 * DIM,
+        held_bytes=held_bytes,
     ).collect()
     got = {}
     for r in sorted(hits, key=lambda r: (r.query_id, r["rank"])):
