@@ -40,9 +40,9 @@ KEYS = 20
 BITMAP_WORDS = 8
 LEAF = 16
 FAN_OUT = 8
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 BLOCK_ROWS = 20_000
-BLOCK_SHINGLES = 4_000_000
+BLOCK_SHINGLES = 2_000_000
 PAIRS_AT_ONCE = 1 << 18
 
 _DRAW = np.random.default_rng(3)
@@ -235,10 +235,10 @@ def _numbers(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(data, dtype=">u8").astype(np.uint64).reshape(-1, width)
 
 
-PROFILE = "doc_id long, n_shingles long, node binary, keys array<bigint>, bitmap binary"
+PROFILE = "doc_id long, tag long, n_shingles long, node binary, keys array<bigint>, bitmap binary"
 
 
-def profiles(docs: DataFrame) -> DataFrame:
+def profiles(docs: DataFrame, tag: str | None = None) -> DataFrame:
     """Digest, minimum hashes and bitmap of every document's set; null where it is empty."""
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,10 +263,12 @@ def profiles(docs: DataFrame) -> DataFrame:
                     columns = [pa.array([], t) for t in (pa.binary(), pa.list_(pa.int64()), pa.binary())]
                 sizes = pa.array([len(s) for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), sizes, *(c.take(at) for c in columns)], names=[c.split()[0] for c in PROFILE.split(", ")]
+                    [part.column(0), part.column(2), sizes, *(c.take(at) for c in columns)],
+                    names=[c.split()[0] for c in PROFILE.split(", ")]
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(profiled, PROFILE)
+    tag = F.col(tag).cast("long") if tag else F.lit(0).cast("long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", tag.alias("tag")).mapInArrow(profiled, PROFILE)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -375,9 +377,12 @@ def link_edges(docs: DataFrame, members: DataFrame) -> DataFrame:
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(linked, "u binary, v binary")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
-    profile = materialize(profiles(docs), "jaccard-profiles")
+def jaccard_components(docs: DataFrame, tag: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document, and what tells its component and row:
+
+    ``component`` (bytes, null for an empty set) and the caller's ``tag`` column.
+    """
+    profile = materialize(profiles(docs, tag), "jaccard-profiles")
     classes = materialize(
         profile.where("node IS NOT NULL")
         .groupBy("node")
@@ -398,11 +403,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     labelled = classes.select("node", "rep").join(found, "node", "left")
     labelled = labelled.select("node", "rep", F.coalesce("label", "node").alias("label"))
     least = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
-    by_node = labelled.join(least, "label").select("node", "component_id")
-    return profile.join(by_node, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+    by_node = labelled.join(least, "label").select("node", "component_id", F.col("label").alias("component"))
+    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    joined = profile.join(by_node, "node", "left")
+    return joined.select("doc_id", "n_shingles", own.alias("component_id"), "component", "tag")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    found = jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 _PRIME = 0x9E3779B97F4A7C15
+RUN = 1 << 20
 _INVERSE = pow(_PRIME, -1, 1 << 64)
 _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
 _POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
@@ -45,22 +46,37 @@ def word_hashes(texts: list[str | None], ends_word: np.ndarray) -> tuple[np.ndar
     """Hashes of the words of all texts, A-Z lower-cased, and the number of words per text.
 
     A word's hash is a polynomial over its bytes: the difference of two prefix sums, moved to
-    the word's own start. Null has no words. Hashes are never 0.
+    the word's own start. The sums run over ``RUN`` bytes at a time, cut where a word ends, so
+    memory beside the result stays small. Null has no words. Hashes are never 0.
     """
     coded = [(text or "").encode("utf-8", "surrogatepass") for text in texts]
-    lengths = np.array([len(c) for c in coded], dtype=np.int64) + 1
+    text_ends = np.cumsum(np.array([len(c) for c in coded], dtype=np.int64) + 1)
     data = _UPPER[np.frombuffer(b" ".join(coded) + b" ", dtype=np.uint8)]
-    ends = np.cumsum(lengths)
     stop = ends_word[data]
-    stop[ends - 1] = True
-    edge = np.flatnonzero(stop[1:] != stop[:-1]) + 1
-    if not stop[0]:
-        edge = np.append(0, edge)
-    start, end = edge[::2], edge[1::2]
-    power, inverse = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTES[data] * power[: len(data)], out=sums[1:])
-    hashes = (sums[end] - sums[start]) * inverse[start]
-    hashes = mixed(hashes + (end - start).astype(np.uint64)) | np.uint64(1)
-    counts = np.diff(np.searchsorted(start, ends), prepend=0)
-    return hashes, counts
+    stop[text_ends - 1] = True
+    found, starts = [], []
+    at = 0
+    while at < len(data):
+        end = at + RUN
+        if end < len(data):
+            back = stop[at:end][::-1].argmax()
+            if not stop[end - 1 - back]:  # one word longer than a run
+                end += int(stop[end:].argmax()) + 1
+            else:
+                end -= int(back)
+        part, gap = data[at:end], stop[at:end]
+        edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+        if not gap[0]:
+            edge = np.append(0, edge)
+        start, last = edge[::2], edge[1::2]
+        power, inverse = _powers(len(part) + 1)
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(_BYTES[part] * power[: len(part)], out=sums[1:])
+        hashes = (sums[last] - sums[start]) * inverse[start]
+        found.append(mixed(hashes + (last - start).astype(np.uint64)) | np.uint64(1))
+        starts.append(start + at)
+        at += len(part)
+    if not texts:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    counts = np.diff(np.searchsorted(np.concatenate(starts), text_ends), prepend=0)
+    return np.concatenate(found), counts

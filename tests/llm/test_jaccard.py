@@ -45,7 +45,7 @@ def brute_force(docs):
 
 def _same(got, expected):
     key = lambda r: tuple((x is not None, x) for x in r)
-    assert sorted(map(tuple, got), key=key) == sorted(expected, key=key)
+    assert sorted((tuple(r[:3]) for r in got), key=key) == sorted(expected, key=key)
 
 
 def test_components_of_the_given_documents(spark):
