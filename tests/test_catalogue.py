@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from feedloom.plans.catalogue import ORACLES, QUERIES
 
 from .conftest import SF
 
@@ -11,7 +12,6 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
     " conversations"
 ).split()
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +22,11 @@ def duck():
     return connection
 
 
+def test_the_contract_lists_the_catalogue():
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
+
+
 def test_oracles_belong_to_queries():
     assert ORACLES.keys() <= QUERIES.keys()
     assert set(QUERIES) - set(ORACLES) == {"knn_approximate"}
