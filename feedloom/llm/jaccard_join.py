@@ -2,8 +2,9 @@
 
 1. Every text becomes its set of hashed word shingles, and of that a digest, ``KEYS`` minimum
    hashes and a token bitmap. Equal sets are one class, represented by its smallest document.
-2. Classes meet where they share a minimum hash. Sets with a similarity of 0.75 share none of
-   them with probability 0.25 ** KEYS (under 1e-12), whatever their sizes.
+2. Classes meet where they share a minimum hash, and are candidates if they share ``MIN_KEYS`` of
+   ``KEYS``. Two sets with a similarity of 0.75 share fewer with probability 2e-10, whatever their
+   sizes; the more alike, the less.
 3. Where classes meet, a signature tree is built: nodes hold OR-combined bitmaps and ranges of
    set sizes. A traversal of the tree with itself drops node pairs whose largest possible
    overlap is too small. What is left ties classes into candidate groups.
@@ -36,7 +37,8 @@ from feedloom.llm.word_hashes import SPACED, mixed, word_hashes
 from feedloom.session import materialize
 
 SHINGLE = 5
-KEYS = 20
+KEYS = 24
+MIN_KEYS = 4
 BITMAP_WORDS = 8
 LEAF = 16
 FAN_OUT = 8
@@ -129,8 +131,11 @@ def may_link(overlap: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 Confirm = Callable[[np.ndarray, np.ndarray, Forest], None]
 
 
-def link_all(maps: np.ndarray, size: np.ndarray, confirm: Confirm | None = None) -> np.ndarray:
-    """Component label of each row: rows whose bitmaps allow a link (``confirm``: and that it ties).
+def link_all(
+    maps: np.ndarray, size: np.ndarray, confirm: Confirm | None = None, marks: np.ndarray | None = None
+) -> np.ndarray:
+    """Component label of each row: rows whose bitmaps allow a link (``confirm``: and that it ties;
+    ``marks``: and that share ``MIN_KEYS`` marks).
 
     Rows should come in an order that puts similar ones together. ``confirm`` gets pairs that
     may be linked and joins those that are.
@@ -143,6 +148,9 @@ def link_all(maps: np.ndarray, size: np.ndarray, confirm: Confirm | None = None)
         common = np.bitwise_count(maps[a] & maps[b]).sum(axis=1).astype(np.int64) + np.minimum(extra[a], extra[b])
         fits = may_link(np.minimum(common, np.minimum(size[a], size[b])), size[a] + size[b])
         a, b = a[fits], b[fits]
+        if marks is not None:
+            alike = (marks[a] == marks[b]).sum(axis=1) >= MIN_KEYS
+            a, b = a[alike], b[alike]
         if confirm is not None:
             confirm(a, b, forest)
         else:
@@ -235,7 +243,7 @@ def _numbers(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(data, dtype=">u8").astype(np.uint64).reshape(-1, width)
 
 
-PROFILE = "doc_id long, tag long, n_shingles long, node binary, keys array<bigint>, bitmap binary"
+PROFILE = "doc_id long, tag long, n_shingles long, node binary, keys array<bigint>, bitmap binary, marks binary"
 
 
 def profiles(docs: DataFrame, tag: str | None = None) -> DataFrame:
@@ -258,9 +266,11 @@ def profiles(docs: DataFrame, tag: str | None = None) -> DataFrame:
                         _binary(digests(full)),
                         pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), KEYS).cast(pa.list_(pa.int64())),
                         _binary(bitmaps(full, BITMAP_WORDS)),
+                        # One byte of each minimum hash, to count how many are shared.
+                        _binary(np.ascontiguousarray(keys.astype(np.uint8)).view(">u8")),
                     ]
                 else:
-                    columns = [pa.array([], t) for t in (pa.binary(), pa.list_(pa.int64()), pa.binary())]
+                    columns = [pa.array([], t) for t in (pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary())]
                 sizes = pa.array([len(s) for s in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), sizes, *(c.take(at) for c in columns)],
@@ -302,11 +312,13 @@ def _cells(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
 
 def candidate_edges(classes: DataFrame) -> DataFrame:
     """Edges u, v between classes that share a minimum hash and whose bitmaps allow a link."""
-    keyed = classes.select(F.explode("keys").alias("key"), "node", "n_shingles", "bitmap")
+    keyed = classes.select(F.explode("keys").alias("key"), "node", "n_shingles", "bitmap", "marks")
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
     hot = materialize(sizes.where(F.col("rows") > BLOCK_ROWS), "jaccard-hot-keys")
     blocks = F.ceil(F.coalesce("rows", F.lit(1)) / BLOCK_ROWS)
-    cells = _cells(keyed.join(hot, "key", "left"), "key", blocks).select("cell", "node", "n_shingles", "bitmap")
+    cells = _cells(keyed.join(hot, "key", "left"), "key", blocks).select(
+        "cell", "node", "n_shingles", "bitmap", "marks"
+    )
 
     def tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches):
@@ -321,14 +333,16 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
                 continue
             node = _numbers(rows.column("node").combine_chunks(), 2)[order]
             maps = _numbers(rows.column("bitmap").combine_chunks(), BITMAP_WORDS)[order]
+            marks = _numbers(rows.column("marks").combine_chunks(), KEYS // 8)[order].astype(">u8").view(np.uint8)
             two = start[many == 2]
             extra = size - np.bitwise_count(maps).sum(axis=1).astype(np.int64)
             common = np.bitwise_count(maps[two] & maps[two + 1]).sum(axis=1).astype(np.int64)
             common += np.minimum(extra[two], extra[two + 1])
-            two = two[may_link(np.minimum(common, size[two]), size[two] + size[two + 1])]
+            fits = may_link(np.minimum(common, size[two]), size[two] + size[two + 1])
+            two = two[fits & ((marks[two] == marks[two + 1]).sum(axis=1) >= MIN_KEYS)]
             left, right = [two], [two + 1]
             for a, n in zip(start[many > 2].tolist(), many[many > 2].tolist(), strict=True):
-                labels = link_all(maps[a : a + n], size[a : a + n])
+                labels = link_all(maps[a : a + n], size[a : a + n], marks=marks[a : a + n])
                 moved = np.flatnonzero(labels != np.arange(n))
                 left.append(a + labels[moved])
                 right.append(a + moved)
@@ -348,7 +362,8 @@ def link_edges(docs: DataFrame, members: DataFrame) -> DataFrame:
     total = members.groupBy("label").agg(F.sum("n_shingles").alias("shingles"))
     cells = _cells(members.join(total, "label"), "label", F.ceil(F.col("shingles") / BLOCK_SHINGLES))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = texts.join(cells, F.col("doc_id").eqNullSafe(F.col("rep"))).select("cell", "node", "text")
+    # The list of candidates grows with the input, so it is never broadcast.
+    rows = texts.join(cells.hint("merge"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("cell", "node", "text")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _groups(batches):
@@ -391,6 +406,7 @@ def jaccard_components(docs: DataFrame, tag: str | None = None) -> DataFrame:
             F.first("n_shingles").alias("n_shingles"),
             F.first("keys").alias("keys"),
             F.first("bitmap").alias("bitmap"),
+            F.first("marks").alias("marks"),
         ),
         "jaccard-classes",
     )
