@@ -30,8 +30,8 @@ from feedloom.session import scratch_dir
 
 END_ID = 0
 CHUNK_IDS = 1 << 19
-CACHED_PIECES = 900_000
-BATCH_CHARS = 4_000_000
+CACHED_PIECES = 500_000
+BATCH_CHARS = 3_000_000
 CHUNKS = (
     "shard int, chunk int, first long, n_ids long, words binary, offsets binary, escaped binary, "
     "doc_ids array<bigint>, doc_tokens array<bigint>"
