@@ -6,7 +6,7 @@ categories. In training, those probabilities come out of fold: a row's are predi
 that did not see it; in scoring they come from the models of all training rows.
 
 Models are fitted on at most ``TRAIN_ROWS`` labelled documents (smallest hash of the id), a
-documented bound. Spark counts their terms; the ``FEATURES`` terms that tell a category best
+documented bound. Spark counts their terms; the ``FEATURES`` terms that tell each category best
 (chi-squared, ties by term) are kept, so what is fitted has a fixed size. Every document is
 scored, over its whole text.
 
@@ -67,21 +67,20 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def select_terms(train: DataFrame, rows: int) -> list[str]:
-    """The terms that tell a category best."""
+    """The terms that tell each category best."""
     sums = [F.sum(name).alias(name) for name in CATEGORIES]
     total = train.agg(*sums).first()
     counts = train.select(F.explode("terms").alias("term"), *CATEGORIES).groupBy("term")
-    counts = counts.agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") >= MIN_ROWS)
-    scores = []
+    counts = materialize(counts.agg(F.count(F.lit(1)).alias("n"), *sums).where(F.col("n") >= MIN_ROWS), "toxicity-terms")
+    chosen: dict[str, None] = {}
     for name in CATEGORIES:
         share = total[name] / rows
         if 0 < share < 1:
             gap = F.col(name) - F.col("n") * share
-            scores.append(gap * gap / (F.col("n") * share * (1 - share) * (1 - F.col("n") / (rows + 1))))
-    if not scores:
-        return []
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    return [r["term"] for r in counts.orderBy(best.desc(), "term").limit(FEATURES).select("term").collect()]
+            score = gap * gap / (F.col("n") * share * (1 - share) * (1 - F.col("n") / (rows + 1)))
+            best = counts.orderBy(score.desc(), "term").limit(FEATURES).select("term").collect()
+            chosen.update(dict.fromkeys(r["term"] for r in best))
+    return list(chosen)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
