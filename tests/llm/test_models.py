@@ -118,3 +118,22 @@ def test_lm_scores_of_odd_rows(spark):
     _same(score_documents(docs, targets, ["doc_id"]).collect(), _brute_lm([r[:2] for r in ODD], {1, 6}))
     assert all(r.score == 0 for r in score_documents(docs, targets.limit(0), ["doc_id"]).collect())
     assert score_documents(docs.limit(0), targets, ["doc_id"]).count() == 0
+
+
+def test_lm_counts_keep_all_words_and_pairs(spark):
+    """More words than 2**15 and more pairs than 2**19, most once in the target: none is left out."""
+    rows = [(k, " ".join(f"w{(k * 7919 + i * (k + 1)) % 40_009}" for i in range(1500))) for k in range(400)]
+    docs = spark.createDataFrame([*rows, (1000, "other " * 5)], "doc_id long, text string").repartition(4)
+    targets = spark.createDataFrame([(k,) for k, _ in rows], "doc_id long")
+    split = [t.split() for _, t in rows]
+    words, pairs = Counter(w for ws in split for w in ws), Counter(p for ws in split for p in zip(ws, ws[1:], strict=False))
+    assert len(words) > 1 << 15 and len(pairs) > 1 << 19
+    total, size = sum(words.values()), len(words) + 1
+    got = {r.doc_id: r for r in score_documents(docs, targets, ["doc_id"]).collect()}
+    assert len(got) == 401
+    for k in range(0, 400, 7):
+        ws = split[k]
+        bits = -math.log2((words[ws[0]] + 1) / (total + size))
+        for a, b in zip(ws, ws[1:], strict=False):
+            bits -= math.log2(lm.WEIGHT * pairs[a, b] / words[a] + (1 - lm.WEIGHT) * (words[b] + 1) / (total + size))
+        assert got[k].target_loss == pytest.approx(bits / len(ws), abs=1e-9)
