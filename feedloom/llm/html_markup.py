@@ -32,11 +32,19 @@ SIDE_NAMES = frozenset(
 DEEPEST = 40
 
 
-class Element(NamedTuple):
-    tag: str
-    path: str
-    side: bool  # it or an element around it is no main text
-    main: bool  # it or an element around it is marked as the article
+class Element:
+    """An element; ``side`` is settled by the whole page, as names alone tell too little."""
+
+    __slots__ = ("tag", "path", "parent", "side", "main", "named", "marked", "chars", "best")
+
+    def __init__(self, tag: str, path: str, parent: Element | None, side: bool, main: bool, named: bool, marked: bool) -> None:
+        self.tag, self.path, self.parent = tag, path, parent
+        self.side = side  # it or an element around it is no main text
+        self.main = main  # it or an element around it is marked as the article
+        self.named = named  # a class or id of it is one of a side element
+        self.marked = marked  # marked as the article itself
+        self.chars = 0  # text in it that is in no side element by tag or role
+        self.best = 0  # text of the largest marked element in it, itself among them
 
 
 class Event(NamedTuple):
@@ -49,18 +57,45 @@ def _element(tag: str, attributes: str, parent: Element | None, depth: int) -> E
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     names = found.get("class", "").lower().split()
     roles = set(found.get("role", "").lower().split())
-    main = tag in ("article", "main") or "main" in roles or "articlebody" in found.get("itemprop", "").lower()
-    inside = main or bool(parent and parent.main)
+    marked = tag in ("article", "main") or "main" in roles or "articlebody" in found.get("itemprop", "").lower()
+    inside = marked or bool(parent and parent.main)
     parts = {p for name in [*names, found.get("id", "").lower()] for p in _NAME.findall(name)}
-    side = tag in SIDE_TAGS or bool(roles & SIDE_ROLES) or bool(parts & SIDE_NAMES) and not main and tag != "body"
-    side |= tag == "header" and not inside
+    side = tag in SIDE_TAGS or bool(roles & SIDE_ROLES) or tag == "header" and not inside
+    named = bool(parts & SIDE_NAMES) and not marked and tag != "body"
     step = ".".join([tag, *sorted(re.sub(r"\d+", "", n) for n in names)])
     path = f"{parent.path}>{step}" if parent and depth < DEEPEST else parent.path if parent else step
-    return Element(tag, path, side or bool(parent and parent.side), inside)
+    return Element(tag, path, parent, side or bool(parent and parent.side), inside, named, marked)
+
+
+def walk(html: str) -> list[Event]:
+    """Elements as they open and close, and the raw texts between them.
+
+    A side name does not make an element side if it holds the page's largest marked element or,
+    on a page without marks, at least half of the text: then it is a wrapper of the layout.
+    """
+    events = list(_walk(html))
+    total = best = 0
+    for kind, element, text in events:
+        if kind == "text" and not (element and element.side):
+            n = len(text.strip())
+            total += n
+            if element:
+                element.chars += n
+        elif kind == "close":
+            if element.marked and not element.side:
+                element.best = max(element.best, element.chars)
+            best = max(best, element.best)
+            if element.parent:
+                element.parent.chars += element.chars
+                element.parent.best = max(element.parent.best, element.best)
+    for kind, element, _ in events:
+        if kind == "open":
+            wraps = element.best == best if best else 2 * element.chars >= total
+            element.side |= element.named and not wraps or bool(element.parent and element.parent.side)
+    return events
 
 
-def walk(html: str) -> Iterator[Event]:
-    """Elements as they open and close, and the raw texts between them."""
+def _walk(html: str) -> Iterator[Event]:
     stack: list[Element] = []
     at = 0
     lower = html.lower()

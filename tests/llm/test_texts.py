@@ -218,3 +218,17 @@ def test_odd_pages(spark):
         key=_key,
     )
     assert ext.extract_text(frame.limit(0)).count() == 0
+
+
+def test_side_names_on_wrappers_of_the_article():
+    def read(html):
+        return ext.main_text(html, None)
+
+    tail = "<div class='sidebar'><p>more</p></div><div class=notice>n</div></div></body>"
+    assert read(f"<body><div class='content-sidebar-wrap'><main><p>the text</p></main>{tail}") == "the text"
+    assert read(f"<body><div class='content no-sidebar'><article><p>the text</p></article>{tail}") == "the text"
+    assert read(f"<body><div id='social-science'><p>the text of the page</p>{tail}") == "the text of the page"
+    # A page with a mark elsewhere: comments stay out, be they long or articles of their own.
+    comments = "<div id=comments><article class=comment><p>yes</p></article>" + "<p>I disagree</p>" * 9 + "</div>"
+    assert read(f"<body><div class=widget-wrap><article><p>the text</p>{comments}</article></div>") == "the text"
+    assert read(f"<body><article><p>the text</p></article>{comments}") == "the text"
