@@ -1,13 +1,18 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Tokens are element openings, told apart by the path of elements around them. For every host, the
-occurrence vector of a token says how often each page has it; it is kept as a fingerprint that
-tasks sum up, never as a list of pages. Tokens with one vector are an equivalence class; a class
-on enough pages of its host is valid. Valid classes nest by their paths into the host's template,
-and what lies between their tokens are its slots. The article's slot is the element marked as
-article or main with most text, else the deepest container that holds most of the host's text; a page
-without that element is read by its own marks. Inside, everything is data, repeated or not,
-except side elements (menus, notices, adverts, forms, comments, ...).
+Tokens are element openings, told apart by the path of elements around them, and blocks of text,
+told apart by their words and path. For every host, the occurrence vector of a token says how
+often each page has it; it is kept as a fingerprint that tasks sum up, never as a list of pages.
+Tokens with one vector are an equivalence class; a class on enough pages of its host is valid.
+Valid classes nest by their paths into the host's template, and what lies between their tokens are
+its slots. An element is once a page if it repeats on less than ``REPEATS`` of its pages. The
+article's slot is the element marked as article or main with most text, else the deepest container
+that holds most of the host's text; a page without that element is read by its own marks. Side
+elements (menus, notices, adverts, forms, comments, ...) are left out.
+
+Text of a valid class that also has an element is template: it comes with that element always, on
+``TEXT_PAGES`` different pages at least. It is dropped, unless it is half of a page's slot or more:
+then the page is a copy. Other text of the slot is data, repeated or not.
 
 Text of inline elements joins its block; character references are decoded; white space inside a
 block becomes one space; blocks are joined by line breaks.
@@ -20,8 +25,10 @@ columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html as references
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -29,22 +36,37 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.html_markup import BLOCKS, walk
+from feedloom.llm.html_markup import BLOCKS, Element, Event, walk
 from feedloom.llm.inputs import slices, table
 
 MIN_SUPPORT = 0.2  # share of a host's pages; it also bounds the tokens of a template
 HALF = 0.5
+REPEATS = 0.1  # share of an element's pages
+TEXT_PAGES = 4
 BATCH_CHARS = 4_000_000
+END = Event("close", Element("html", "", None, False, False, False, False), "")  # ends the last block of a page
 CONTAINERS = frozenset("article body center div main section td".split())
-TOKENS = "host string, page long, path string, n long, chars long, marked boolean"
+TOKENS = "host string, page long, path string, n long, chars long, marked boolean, likeness long"
 
 
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][\w+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1))
 
 
+def plain(raw: str) -> str:
+    return " ".join(references.unescape(raw).split())
+
+
+def text_token(path: str, words: str) -> str:
+    """The token of a block of text; no path of elements begins with its first sign."""
+    return "#" + hashlib.blake2b(f"{path}\n{words}".encode("utf-8", "replace"), digest_size=8).hexdigest()
+
+
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """Per page and token: how often it occurs and how much main text it holds; path '' counts the page."""
+    """Per page and token: how often it occurs and how much main text it holds; path '' counts the page.
+
+    ``likeness`` is one of 64 bits, the same for pages with the same text.
+    """
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in slices(batches, "html", BATCH_CHARS):
@@ -54,7 +76,23 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                 chars: dict[str, int] = defaultdict(int)
                 marked: dict[str, bool] = {}
                 around: list[str] = []
-                for event in walk(source or ""):
+                block: list[str] = []
+                block_path = ""
+                for event in [*walk(source or ""), END]:
+                    if event.kind != "text" and (event.element.tag in BLOCKS or event.element.side):
+                        if words := plain("".join(block)):
+                            token = text_token(block_path, words)
+                            count[token] += 1
+                            marked[token] = False
+                        block, block_path = [], ""
+                    elif event.kind == "text" and not (event.element and event.element.side):
+                        block.append(event.text)
+                        if not block_path and event.element and event.text.strip():
+                            block_path = event.element.path
+                    elif event.kind == "open" and event.element.tag == "br":
+                        block.append(" ")
+                    if event is END:
+                        break
                     if event.kind == "open" and not event.element.side:
                         count[event.element.path] += 1
                         marked[event.element.path] = event.element.main
@@ -65,8 +103,11 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                         n = len(event.text.strip())
                         for path in set(around):
                             chars[path] += n
-                rows.append((name, page, "", 1, 0, False))
-                rows += [(name, page, path, n, chars[path], marked[path]) for path, n in count.items()]
+                texts = "".join(sorted(path for path in count if path[0] == "#"))
+                bit = 1 << (zlib.crc32(texts.encode()) & 63)
+                likeness = bit - (1 << 64) if bit >> 63 else bit
+                rows.append((name, page, "", 1, 0, False, likeness))
+                rows += [(name, page, path, n, chars[path], marked[path], likeness) for path, n in count.items()]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in TOKENS.split(", ")])
 
     return pages.select("host", "page", "html").mapInPandas(tokens, TOKENS)
@@ -78,12 +119,15 @@ def equivalence_classes(tokens: DataFrame) -> DataFrame:
     per_token = tokens.groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("support"),
         vector.alias("vector"),
-        F.max("n").alias("most"),
+        F.when(F.count_if(F.col("n") > 1) < REPEATS * F.count(F.lit(1)), 1).otherwise(F.max("n")).alias("most"),
+        F.bit_count(F.bit_or("likeness")).alias("different"),
         F.sum("chars").alias("chars"),
         F.max("marked").alias("marked"),
     )
     sizes = per_token.where("path = ''").select("host", F.col("support").alias("host_pages"))
-    valid = per_token.where("path <> ''").join(sizes, "host").where(F.col("support") >= MIN_SUPPORT * F.col("host_pages"))
+    varied = (F.col("different") >= TEXT_PAGES) | ~F.col("path").startswith("#")
+    valid = per_token.where("path <> ''").where(varied).join(sizes, "host")
+    valid = valid.where(F.col("support") >= MIN_SUPPORT * F.col("host_pages"))
     return valid.groupBy("host", "vector", "support", "most").agg(
         F.collect_list(F.struct("path", "chars", "marked")).alias("members")
     )
@@ -95,6 +139,7 @@ def article_path(classes: list[tuple[int, int, list]]) -> str | None:
     A class is nested in the class that owns the nearest path around its tokens. Slots that
     occur once a page and are in no repeated class can hold the article.
     """
+    classes = [(support, most, [m for m in members if m[0][0] != "#"]) for support, most, members in classes]
     owner = {path: (support, most) for support, most, members in classes for path, _, _ in members}
     text = {path: (chars, marked) for _, _, members in classes for path, chars, marked in members}
 
@@ -113,40 +158,51 @@ def article_path(classes: list[tuple[int, int, list]]) -> str | None:
     return max(deep, default=(0, None))[1]
 
 
+def template_texts(classes: list[tuple[int, int, list]]) -> list[str]:
+    """Text tokens in one class with an element."""
+    paths = ([path for path, _, _ in members] for _, _, members in classes)
+    return [p for own in paths if any(q[0] != "#" for q in own) for p in own if p[0] == "#"]
+
+
 def holds_blocks(path: str) -> bool:
     return re.split(r"[>.]", path.rpartition(">")[2])[0] in CONTAINERS
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """Of each host, the path of the article's slot in its template."""
+    """Of each host, the path of the article's slot in its template, and the template's texts."""
     classes = equivalence_classes(page_tokens(pages)).groupBy("host")
     # Tokens on a fifth of a host's pages are at most five times as many as a page has.
     grouped = classes.agg(F.collect_list(F.struct("support", "most", "members")).alias("classes"))
 
     def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            paths = []
+            paths, texts = [], []
             for classes in batch["classes"]:
                 rows = [(c["support"], c["most"], [(m["path"], m["chars"], m["marked"]) for m in c["members"]]) for c in classes]
                 paths.append(article_path(rows))
-            yield pd.DataFrame({"template_host": batch["host"], "article": pd.Series(paths, dtype=object)})
+                texts.append(template_texts(rows))
+            found = {"article": pd.Series(paths, dtype=object), "template": pd.Series(texts, dtype=object)}
+            yield pd.DataFrame({"template_host": batch["host"], **found})
 
-    return grouped.mapInPandas(chosen, "template_host string, article string")
+    return grouped.mapInPandas(chosen, "template_host string, article string, template array<string>")
 
 
-def main_text(source: str | None, article: str | None) -> str:
+def main_text(source: str | None, article: str | None, template: frozenset[str] = frozenset()) -> str:
     """The text in the article's slot, or in what the page itself marks if it has no such slot."""
-    wanted: list[str] = []
-    marked: list[str] = []
-    everything: list[str] = []
+    wanted: list[tuple[str, bool]] = []
+    marked: list[tuple[str, bool]] = []
+    everything: list[tuple[str, bool]] = []
     parts: list[tuple[str, bool, bool]] = []
     inside = 0
+    block_path = ""
 
     def end_block() -> None:
+        whole = plain("".join(p[0] for p in parts)) if template else ""
+        fixed = bool(whole) and text_token(block_path, whole) in template
         for out, keep in ((everything, lambda p: True), (marked, lambda p: p[1]), (wanted, lambda p: p[2])):
-            text = " ".join(references.unescape("".join(p[0] for p in parts if keep(p))).split())
+            text = plain("".join(p[0] for p in parts if keep(p)))
             if text:
-                out.append(text)
+                out.append((text, fixed))
         parts.clear()
 
     found = False
@@ -155,16 +211,22 @@ def main_text(source: str | None, article: str | None) -> str:
         if event.kind == "text":
             if not (element and element.side):
                 parts.append((event.text, bool(element and element.main), inside > 0))
+                if not block_path and element and event.text.strip():
+                    block_path = element.path
             continue
         if element.tag in BLOCKS or element.side:
             end_block()
+            block_path = ""
         elif element.tag == "br" and event.kind == "open":
             parts.append((" ", element.main, inside > 0))
         if element.path == article:
             inside += 1 if event.kind == "open" else -1
             found = True
     end_block()
-    return "\n".join(wanted if found else marked or everything)
+    blocks = wanted if found else marked or everything
+    fixed_chars = sum(len(text) for text, fixed in blocks if fixed)
+    copied = fixed_chars >= HALF * sum(len(text) for text, _ in blocks)
+    return "\n".join(text for text, fixed in blocks if copied or not fixed)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -174,13 +236,14 @@ def extract_text(pages: DataFrame) -> DataFrame:
     """
     own = [c for c in pages.columns if c != "html"]
     named = pages.select(F.struct(*own).alias("own"), host(F.col("url")).alias("host"), F.col("page_id").cast("long").alias("page"), "html")
-    joined = named.join(host_templates(named), F.col("host") == F.col("template_host"), "left").select("own", "article", "html")
+    joined = named.join(host_templates(named), F.col("host") == F.col("template_host"), "left").select("own", "article", "template", "html")
 
     @F.pandas_udf("string")
-    def read(sources: pd.Series, articles: pd.Series) -> pd.Series:
-        return pd.Series([main_text(s, a) for s, a in zip(sources, articles, strict=True)], dtype=object)
+    def read(sources: pd.Series, articles: pd.Series, templates: pd.Series) -> pd.Series:
+        given = zip(sources, articles, templates, strict=True)
+        return pd.Series([main_text(s, a, frozenset(() if t is None else t)) for s, a, t in given], dtype=object)
 
-    return joined.select("own", read("html", "article").alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
+    return joined.select("own", read("html", "article", "template").alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -232,3 +232,28 @@ def test_side_names_on_wrappers_of_the_article():
     comments = "<div id=comments><article class=comment><p>yes</p></article>" + "<p>I disagree</p>" * 9 + "</div>"
     assert read(f"<body><div class=widget-wrap><article><p>the text</p>{comments}</article></div>") == "the text"
     assert read(f"<body><article><p>the text</p></article>{comments}") == "the text"
+
+
+def test_text_that_is_template_on_the_host_is_dropped(spark):
+    """A notice of unlisted name and a repeated line in the slot go; a line that only some articles share stays."""
+
+    def page(k):
+        story = "".join(f"<p>story {k} {i} {'word ' * 9}</p>" for i in range(1 + k % 3))
+        shared = "<p>as some say</p>" if k % 2 else ""
+        more = "<h2>more</h2><h2>still more</h2>" if k == 3 else "<h2>more</h2>"
+        hint = "<div class=hinweis>Read our letter</div>" if k % 4 else ""
+        return f"<body><div class=story><h1>T{k}</h1>{story}{shared}{hint}<p>All rights kept</p></div>{more}</body>"
+
+    rows = [(k, "http://a.example/1", page(k)) for k in range(20)] + [(k, "http://b.example/", page(1)) for k in range(20, 30)]
+    got = {r.own.page_id: r.text for r in ext.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(20):
+        lines = [f"T{k}", *(f"story {k} {i} {'word ' * 9}".strip() for i in range(1 + k % 3)), *["as some say"] * (k % 2)]
+        assert got[k] == "\n".join(lines)
+    for k in range(20, 30):  # copies of one page: nothing tells its template from its data
+        assert got[k].endswith("Read our letter\nAll rights kept") and got[k].startswith("T1\nstory 1 0")
+
+
+def test_one_odd_page_does_not_repeat_an_element(spark):
+    rows = [("h", k, p, 1 + (k == 0 and p != ""), 9, False, 1) for k in range(30) for p in ("", "body>div")]
+    (found,) = ext.equivalence_classes(spark.createDataFrame(rows, ext.TOKENS)).collect()
+    assert (found.support, found.most) == (30, 1)
