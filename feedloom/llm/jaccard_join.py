@@ -1,4 +1,6 @@
-"""Exact n-gram Jaccard join with signature trees, as classes of linked documents.
+"""N-gram Jaccard join by minimum hashes and signature trees, as classes of linked documents.
+
+No link is drawn that does not hold; a pair is missed with the probability in 2.
 
 1. Every text becomes its set of hashed word shingles, and of that a digest, ``KEYS`` minimum
    hashes and a token bitmap. Equal sets are one class, represented by its smallest document.
