@@ -5,6 +5,7 @@ from __future__ import annotations
 from feedloom.llm.chat import OP8_SQL, op8_chat_format
 from feedloom.llm.decontamination import OP7_SQL, op7_decontamination
 from feedloom.llm.html_extraction import op1_html_extraction
+from feedloom.llm.importance import OP13_SQL, op13_importance_resampling
 from feedloom.llm.jaccard_join import op3_jaccard_join
 from feedloom.llm.lm_scoring import op4_lm_scoring
 from feedloom.llm.mixing import op6_source_mixing
@@ -24,8 +25,10 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_ids": op10_token_ids,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 ORACLES = {
     "op7_decontamination": OP7_SQL,
     "op8_chat_format": OP8_SQL,
+    "op13_importance_resampling": OP13_SQL,
 }
