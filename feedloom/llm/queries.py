@@ -13,6 +13,7 @@ from feedloom.llm.quality_classifier import op9_quality_classifier
 from feedloom.llm.quality_rules import op5_quality_rules
 from feedloom.llm.token_ids import op10_token_ids
 from feedloom.llm.toxicity import op2_toxicity
+from feedloom.llm.vector_codes import OP12_SQL, op12_vector_codes
 
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_ids": op10_token_ids,
+    "op12_vector_codes": op12_vector_codes,
     "op13_importance_resampling": op13_importance_resampling,
 }
 ORACLES = {
     "op7_decontamination": OP7_SQL,
     "op8_chat_format": OP8_SQL,
+    "op12_vector_codes": OP12_SQL,
     "op13_importance_resampling": OP13_SQL,
 }
