@@ -7,6 +7,7 @@ from feedloom.llm.decontamination import OP7_SQL, op7_decontamination
 from feedloom.llm.html_extraction import op1_html_extraction
 from feedloom.llm.importance import OP13_SQL, op13_importance_resampling
 from feedloom.llm.jaccard_join import op3_jaccard_join
+from feedloom.llm.language_id import op11_language_id
 from feedloom.llm.lm_scoring import op4_lm_scoring
 from feedloom.llm.mixing import op6_source_mixing
 from feedloom.llm.quality_classifier import op9_quality_classifier
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_token_ids": op10_token_ids,
+    "op11_language_id": op11_language_id,
     "op12_vector_codes": op12_vector_codes,
     "op13_importance_resampling": op13_importance_resampling,
 }
