@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions.vectors import SCORE_DIGITS
+from feedloom.operators.cells import BLOCK_BYTES, MAX_CELLS, choose_pivots, matrix, route, score_in_cells, survey, with_cell
+from feedloom.session import materialize
 
-# Query vectors up to this size travel to every executor; more go through the grid.
+# Query vectors up to this size travel to every executor; more go through the cells.
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
 # A worker holds k entries (place, score, id as text, copies while merging) for every query it got.
 HELD_BYTES = 512 * 1024 * 1024
 ENTRY_BYTES = 1024
-# Size of an index block of the grid, per task.
-INDEX_BLOCK_BYTES = 128 * 1024 * 1024
 
 
 def score_against(embedding: str | Column, vector: Sequence[float]) -> Column:
@@ -111,14 +111,16 @@ def knn_batch(
     key: str = "doc_id",
     query_key: str = "query_id",
     query_block_bytes: int = QUERY_BLOCK_BYTES,
-    index_block_bytes: int = INDEX_BLOCK_BYTES,
+    index_block_bytes: int = BLOCK_BYTES,
     held_bytes: int = HELD_BYTES,
+    cells: int = MAX_CELLS,
 ) -> DataFrame:
     """The ``k`` nearest documents of every query: query key, document key, score, rank.
 
-    Queries that fit ``query_block_bytes``, and whose best ``k`` fit ``held_bytes``, are sent to the executors and the index is
-    scanned once, without an exchange. Larger query tables are cut, like the index, into
-    hashed blocks; each task scores one index block against one query block.
+    Queries that fit ``query_block_bytes``, and whose best ``k`` fit ``held_bytes``, are sent to
+    the executors and the index is scanned once, without an exchange. Larger query tables go
+    through Voronoi cells (see ``cells``): bounds from a first pass tell which cells a query has
+    to ask, and the rows of the index cross the network once.
     """
     index = index.select(key, "embedding").filter(F.size("embedding") == dim)
     queries = queries.select(query_key, "embedding").filter(F.size("embedding") == dim)
@@ -135,11 +137,8 @@ def knn_batch(
     if block.num_rows <= max_queries:
         scored = _scan_with_queries(index, block, k, dim, out, out_arrow)
     else:
-        index_blocks = 1 + index.count() * 8 * dim // index_block_bytes
-        query_blocks = 1 + queries.count() // max_queries
-        scored = _grid(index, queries, int(index_blocks), int(query_blocks), k, dim, out, out_arrow)
-    ranked = Window.partitionBy(query_key).orderBy(F.desc("score"), F.asc(key))
-    return scored.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
+        scored = _in_cells(index, queries, k, dim, out, index_block_bytes, cells)
+    return _ranked(scored, query_key, key, k)
 
 
 def _scan_with_queries(
@@ -167,69 +166,85 @@ def _scan_with_queries(
     return index.mapInArrow(score, out)
 
 
-def _grid(
-    index: DataFrame,
-    queries: DataFrame,
-    index_blocks: int,
-    query_blocks: int,
-    k: int,
-    dim: int,
-    out: T.StructType,
-    out_arrow: pa.Schema,
+def _in_cells(
+    index: DataFrame, queries: DataFrame, k: int, dim: int, out: T.StructType, block_bytes: int, cells: int
 ) -> DataFrame:
-    best = _best_per_query(k)
     query_key, key, _ = out.names
-
-    def cut(df: DataFrame, column: str, own: str, blocks: int, other: str, others: int) -> DataFrame:
-        return df.select(
-            F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other),
-            column,
-            "embedding",
-        ).groupBy("index_block", "query_block")
-
-    def matrix(table: pa.Table) -> np.ndarray:
-        values = table.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return values.astype(np.float64, copy=False).reshape(table.num_rows, dim)
-
-    def cell(documents: pa.Table, asked: pa.Table) -> pa.Table:
-        if not documents.num_rows or not asked.num_rows:
-            return out_arrow.empty_table()
-        ids = asked.column(query_key).to_pylist()
-        block = (documents.column(key).combine_chunks(), matrix(documents))
-        found_q, found_id, found_score = best(matrix(asked), iter([block]))
-        columns = {query_key: [ids[q] for q in found_q], key: found_id.tolist(), "score": found_score}
-        return pa.table(columns, schema=out_arrow)
-
-    left = cut(index, key, "index_block", index_blocks, "query_block", query_blocks)
-    right = cut(queries, query_key, "query_block", query_blocks, "index_block", index_blocks)
-    return left.cogroup(right).applyInArrow(cell, out)
+    pivots = choose_pivots(index, key, dim, cells)
+    if not len(pivots):
+        return index.sparkSession.createDataFrame([], out)
+    known = survey(index, pivots, k)
+    routed = materialize(route(queries, known, query_key), "routed-queries")
+    placed = with_cell(index, pivots, others=(key,))
+    best = _best_per_query(k)
+    return score_in_cells(placed, routed, known.rows, best, dim, key, query_key, out, block_bytes=block_bytes)
 
 
-def knn_approx(
+def batch_in_lists(
     index: DataFrame,
-    vector: Sequence[float],
+    routed: DataFrame,
+    rows: np.ndarray,
     k: int,
-    key: str = "doc_id",
+    dim: int,
     *,
-    tables: int = 8,
-    bucket_length: float = 0.5,
-    oversample: int = 8,
+    key: str,
+    query_key: str,
+    query_block_bytes: int = QUERY_BLOCK_BYTES,
+    held_bytes: int = HELD_BYTES,
 ) -> DataFrame:
-    """Nearest documents among those that share a random-projection bucket with the query.
+    """The ``k`` best rows among the lists of each query: query key, key, score, rank.
 
-    The candidates are ranked by their exact score. May miss neighbours; ``knn`` does not.
+    ``index`` has ``key``, ``embedding`` and its partition column ``cell`` (``rows`` of each
+    known), ``routed`` has ``query_key``, ``embedding`` and the ``cells`` to read. A small query
+    table travels to the scan of those partitions, which is not shuffled.
     """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.linalg import Vectors
-
-    usable = index.filter(F.size("embedding") == len(vector)).withColumn(
-        "_vector", array_to_vector("embedding")
-    )
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="_vector", outputCol="_hashes", bucketLength=bucket_length, numHashTables=tables, seed=7
+    out = T.StructType(
+        [
+            T.StructField(query_key, routed.schema[query_key].dataType),
+            T.StructField(key, index.schema[key].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
     )
-    query = Vectors.dense([float(x) for x in vector])
-    near = lsh.fit(usable).approxNearestNeighbors(usable, query, k * oversample)
-    return knn(near.drop("_vector", "_hashes", "distCol"), vector, k, key)
+    max_queries = max(1, min(query_block_bytes // (8 * dim), held_bytes // (ENTRY_BYTES * max(1, k))))
+    block = routed.limit(max_queries + 1).toArrow()
+    if block.num_rows <= max_queries:
+        wanted = sorted({c for cells in block.column("cells").to_pylist() for c in cells})
+        pruned = index.where(F.col("cell").isin(wanted)) if wanted else index.limit(0)
+        scored = _scan_lists(pruned.select(key, "embedding", "cell"), block, k, dim, out)
+    else:
+        kept = materialize(routed, "routed-queries")
+        scored = score_in_cells(index, kept, rows, _best_per_query(k), dim, key, query_key, out)
+    return _ranked(scored, query_key, key, k)
+
+
+def _scan_lists(index: DataFrame, block: pa.Table, k: int, dim: int, out: T.StructType) -> DataFrame:
+    """Score the rows of each list against the queries that ask for it."""
+    best = _best_per_query(k)
+    query_key, key, _ = out.names
+    out_arrow = index.sparkSession.createDataFrame([], out).toArrow().schema
+    asking: dict[int, list[int]] = {}
+    for row, cells in enumerate(block.column("cells").to_pylist()):
+        for cell in cells:
+            asking.setdefault(cell, []).append(row)
+    held = (block.column(query_key).to_pylist(), matrix(block.column("embedding"), dim), asking)
+    shared = index.sparkSession.sparkContext.broadcast(held)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, queries, by_cell = shared.value
+        for batch in batches:
+            cells = batch.column(2).to_numpy(zero_copy_only=False)
+            for cell in np.unique(cells):
+                rows = np.flatnonzero(cells == cell)
+                part, asked = batch.take(pa.array(rows)), np.array(by_cell.get(int(cell), []), dtype=np.int64)
+                if not len(asked):
+                    continue
+                found_q, found_id, found_score = best(queries[asked], iter([(part.column(0), matrix(part.column(1), dim))]))
+                columns = {query_key: [ids[q] for q in asked[found_q]], key: found_id.tolist(), "score": found_score}
+                yield pa.RecordBatch.from_pydict(columns, schema=out_arrow)
+
+    return index.mapInArrow(score, out)
+
+
+def _ranked(scored: DataFrame, query_key: str, key: str, k: int) -> DataFrame:
+    ranked = Window.partitionBy(query_key).orderBy(F.desc("score"), F.asc(key))
+    return scored.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)

@@ -16,7 +16,7 @@ from feedloom.fixed_values import (
 from feedloom.functions.instants import iso_instant
 from feedloom.functions.vectors import l2_normalize, l2_score
 from feedloom.operators.embedding import with_hash_embedding, with_query_embedding
-from feedloom.operators.nearest import knn, knn_approx, knn_batch, min_score_filter
+from feedloom.operators.nearest import knn, knn_batch, min_score_filter
 from feedloom.operators.search import (
     accepted,
     check_page_args,
@@ -33,6 +33,8 @@ from feedloom.operators.upsert import to_document
 from feedloom.plans.catalogue import inputs as I
 from feedloom.plans.catalogue import sql as S
 from feedloom.plans.catalogue.registry import query
+from feedloom.session import materialize, scratch_dir
+from feedloom.sources.vector_lists import VectorLists
 
 # The query text of the single-query searches.
 QUESTION = "the strength of the markets and the men"
@@ -114,11 +116,65 @@ def knn_of_many_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+# Every hundredth vector asks all others.
+_ASKED = "vec_id % 100 = 0"
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _vectors(spark, sf_dir).where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), "embedding")
+
+
+@query(
+    f"""
+SELECT query_id, rank, vec_id, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
+    SELECT q.vec_id AS query_id, e.vec_id,
+           round(1 / (1 + list_distance(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) ** 2), 9) AS score
+    FROM (SELECT * FROM embeddings WHERE {_ASKED}) q CROSS JOIN embeddings e
+  )
+) WHERE rank <= 10
+"""
+)
+def knn_in_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact neighbours by the way that large query tables take."""
+    hits = knn_batch(_vectors(spark, sf_dir), _asked(spark, sf_dir), 10, 64, query_block_bytes=0)
+    return hits.select(
+        "query_id",
+        F.col("rank").cast("long").alias("rank"),
+        F.col("doc_id").alias("vec_id"),
+        F.round("score", 6).alias("score"),
+    )
+
+
+@query(
+    f"""
+SELECT count(*) AS queries, 10 * count(*) AS hits, TRUE AS recall_reached, TRUE AS scores_exact
+FROM embeddings WHERE {_ASKED}
+"""
+)
 def knn_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bucketed random projections find candidates; which ones depends on the random draw."""
-    hits = knn_approx(_vectors(spark, sf_dir), query_vector(spark, QUESTION, 64), 5, bucket_length=1.0)
-    return hits.select(F.col("doc_id").alias("vec_id"), F.round("score", 6).alias("score"))
+    """Ten neighbours from the probed lists of an inverted-file index, held against the exact ones."""
+    vectors, asked = _vectors(spark, sf_dir), _asked(spark, sf_dir)
+    lists = VectorLists.build(vectors, scratch_dir(spark, "vector-lists"))
+    found = materialize(lists.search_batch(asked, 10), "approximate-hits")
+    exact = materialize(knn_batch(vectors, asked, 10, 64), "exact-hits")
+    shared = found.join(exact.select("query_id", "doc_id", F.col("score").alias("exact")), ["query_id", "doc_id"])
+    stored = vectors.select("doc_id", F.col("embedding").cast("array<double>").alias("stored"))
+    scores = (
+        found.join(stored, "doc_id")
+        .join(asked.select("query_id", F.col("embedding").cast("array<double>").alias("asked")), "query_id")
+        .select((F.abs(F.col("score") - l2_score("stored", "asked")) < 1e-8).alias("right"))
+    )
+    counts = asked.agg(F.count(F.lit(1)).alias("queries"))
+    hits = found.agg(F.count(F.lit(1)).alias("hits"))
+    right = scores.agg(F.coalesce(F.bool_and("right"), F.lit(True)).alias("scores_exact"))
+    return (
+        counts.join(hits)
+        .join(shared.agg(F.count(F.lit(1)).alias("shared")))
+        .join(exact.agg(F.count(F.lit(1)).alias("expected")))
+        .join(right)
+        .select("queries", "hits", (F.col("shared") >= 0.9 * F.col("expected")).alias("recall_reached"), "scores_exact")
+    )
 
 
 @query(
