@@ -90,16 +90,27 @@ def require_sources(config: DataFrame) -> DataFrame:
     return config
 
 
+def _method_error() -> Column:
+    method = first_text("method", F.lit(DEFAULT_METHOD))
+    message = F.format_string(BAD_METHOD_MESSAGE, F.coalesce("name", F.lit("null")), method)
+    return F.when(F.upper(method) != DEFAULT_METHOD, message)
+
+
+def check_method(config: DataFrame) -> DataFrame:
+    """Add ``error_message``: wrong method, or NULL. Enough for parsers that need no mapping."""
+    return config.withColumn("error_message", _method_error())
+
+
 def check_config(config: DataFrame) -> DataFrame:
     """Add ``error_message``: wrong method, missing mapping, missing articles path, or NULL."""
-    method = first_text("method", F.lit(DEFAULT_METHOD))
     name = F.coalesce("name", F.lit("null"))
     return config.withColumn(
         "error_message",
-        F.when(F.upper(method) != DEFAULT_METHOD, F.format_string(BAD_METHOD_MESSAGE, name, method))
-        .when(F.col("response_mapping").isNull(), F.format_string(NO_MAPPING_MESSAGE, name))
-        .when(
-            ~has_text("response_mapping.articles_path"), F.format_string(NO_ARTICLES_PATH_MESSAGE, name)
+        F.coalesce(
+            _method_error(),
+            F.when(F.col("response_mapping").isNull(), F.format_string(NO_MAPPING_MESSAGE, name)).when(
+                ~has_text("response_mapping.articles_path"), F.format_string(NO_ARTICLES_PATH_MESSAGE, name)
+            ),
         ),
     )
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom import schemas
 from feedloom.fixed_values import BAD_JSON_MESSAGE, NOT_AN_ARRAY_MESSAGE, UNKNOWN_SOURCE
@@ -13,7 +15,7 @@ from feedloom.functions.instants import parse_instant_or
 from feedloom.functions.jsonpath import as_array, as_text, parse_body, path_get, path_get_known
 from feedloom.functions.text import first_text, has_text
 from feedloom.operators.columns import computed_once
-from feedloom.operators.config import check_config
+from feedloom.operators.config import check_config, check_method
 from feedloom.operators.joins import join_skewed
 
 ORDER = ("source_ord", "response_no", "pos")
@@ -26,6 +28,16 @@ LOCAL_CONFIG_ROWS = 20_000
 COMPILED_PATHS = 64
 
 
+def _configured(raw: DataFrame, checked: DataFrame) -> tuple[DataFrame, pa.Table | None]:
+    """Responses with the columns of their source's configuration, and the configuration if it is small."""
+    raw = raw.withColumnRenamed("source", "source_name")
+    local = checked.limit(LOCAL_CONFIG_ROWS + 1).toArrow()
+    if local.num_rows > LOCAL_CONFIG_ROWS:
+        return join_skewed(raw, checked, "source_name"), None
+    sources = F.broadcast(raw.sparkSession.createDataFrame(local, checked.schema))
+    return raw.join(sources, "source_name"), local
+
+
 def flatten_responses(raw: DataFrame, config: DataFrame) -> DataFrame:
     """One row per item of every response body, with the texts its source's mapping names.
 
@@ -39,15 +51,8 @@ def flatten_responses(raw: DataFrame, config: DataFrame) -> DataFrame:
         F.col("error_message").alias("config_error"),
         *[F.col(f"response_mapping.{name}").alias(f"{name}_path") for name in names],
     )
-    raw = raw.withColumnRenamed("source", "source_name")
-    known: dict[str, set] = {}
-    local = checked.limit(LOCAL_CONFIG_ROWS + 1).toArrow()
-    if local.num_rows <= LOCAL_CONFIG_ROWS:
-        known = {name: set(local.column(f"{name}_path").to_pylist()) for name in names}
-        sources = F.broadcast(raw.sparkSession.createDataFrame(local, checked.schema))
-        bodies = raw.join(sources, "source_name")
-    else:
-        bodies = join_skewed(raw, checked, "source_name")
+    bodies, local = _configured(raw, checked)
+    known = {} if local is None else {name: set(local.column(f"{name}_path").to_pylist()) for name in names}
 
     def lookup(value: str, name: str) -> Column:
         path = F.col(f"{name}_path")
@@ -118,27 +123,50 @@ def response_errors(normalized: DataFrame) -> DataFrame:
 
 
 def typed_responses(raw: DataFrame, schema=schemas.TYPED_PAYLOAD) -> DataFrame:
-    """Bodies of the typed provider as a nested struct ``payload`` (NULL when unreadable)."""
-    return raw.withColumn("payload", F.from_json("body", schema))
+    """Bodies of the typed provider as a nested struct ``payload``, and ``unreadable``.
 
+    A body that is missing, is no JSON object or has a value of another type is unreadable and
+    has no payload; a body that says ``null`` has none either, but may.
+    """
+    known = T.StructType([*schema.fields, T.StructField("_as_text", T.StringType())])
+    parsed = F.from_json("body", known, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_as_text"})
+    body = F.btrim("body", F.lit(" \t\r\n"))
+    read = computed_once(raw, _payload=F.when(F.startswith(body, F.lit("{")), parsed))
+    good = F.col("_payload").isNotNull() & F.col("_payload._as_text").isNull()
+    payload = F.struct(*[F.col(f"_payload.{name}").alias(name) for name in schema.names])
+    unreadable = ~good & ~F.coalesce(body == "null", F.lit(False))
+    return read.select(*raw.columns, F.when(good, payload).alias("payload"), unreadable.alias("unreadable"))
 
-def normalize_typed(
+
+def flatten_typed(
     typed: DataFrame, run_at: str | datetime | Column, fallback: str | Column | None = UNKNOWN_SOURCE
 ) -> DataFrame:
-    """Articles of the typed provider; title and url are both required."""
+    """One row per item of typed payloads, shaped like those of ``normalize_generic``.
+
+    ``kept`` is true for items with title and url. An unreadable body, or one with an
+    ``error_message`` already, gives one row with that message, an empty one a row without
+    an item.
+    """
     fallback = fallback if isinstance(fallback, Column) else F.lit(fallback).cast("string")
-    items = typed.select(
+    known = F.col("error_message") if "error_message" in typed.columns else F.lit(None).cast("string")
+    source = "source_name" if "source_name" in typed.columns else "source"
+    error = F.coalesce(known, F.when(F.col("unreadable"), F.format_string(BAD_JSON_MESSAGE, source)))
+    marked = typed.withColumn("_error", error)
+    items = marked.select(
         "run_id",
-        F.col("source").alias("source_name"),
+        F.col(source).alias("source_name"),
         "source_ord",
         "response_no",
         "fetched_at",
-        F.posexplode("payload.articles").alias("pos", "item"),
+        F.col("_error").alias("error_message"),
         fallback.alias("fallback"),
+        F.posexplode_outer(F.when(F.col("_error").isNull(), F.col("payload.articles"))).alias("pos", "item"),
     )
-    return items.filter(has_text("item.title") & has_text("item.url")).select(
+    return items.select(
         *KEYS,
+        "error_message",
         "fetched_at",
+        (has_text("item.title") & has_text("item.url")).alias("kept"),
         F.col("item.url").alias("external_id"),
         F.col("item.title").alias("title"),
         first_text("item.content", "item.description", F.lit("")).alias("content"),
@@ -149,6 +177,20 @@ def normalize_typed(
     )
 
 
+def normalize_typed(
+    typed: DataFrame, run_at: str | datetime | Column, fallback: str | Column | None = UNKNOWN_SOURCE
+) -> DataFrame:
+    """Articles of the typed provider; title and url are both required."""
+    return articles_of(flatten_typed(typed, run_at, fallback))
+
+
+def typed_items(raw: DataFrame, config: DataFrame, run_at: str | datetime | Column) -> DataFrame:
+    """Items of all typed bodies of configured sources; a source's name stands in for a missing one."""
+    checked = check_method(config).select(F.col("name").alias("source_name"), "error_message")
+    bodies, _ = _configured(raw, checked)
+    return flatten_typed(typed_responses(bodies), run_at, F.col("source_name"))
+
+
 def extract(df: DataFrame, body: str, **paths: str) -> DataFrame:
     """Add text columns read from a JSON text column by dotted paths."""
     root = df.withColumn("_root", parse_body(body))

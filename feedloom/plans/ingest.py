@@ -9,17 +9,18 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.config import check_config, enabled_sources, require_sources, source_config
+from feedloom.operators.config import check_config, check_method, enabled_sources, require_sources, source_config
 from feedloom.operators.enrich import enrich, source_atomic_gate, source_failures
 from feedloom.operators.metrics import RUN_KEYS, run_summary, source_metrics, source_summary
-from feedloom.operators.normalize import flatten_responses, normalize_generic
-from feedloom.operators.upsert import RUN_ORDER, indexing_summary, latest_per_key, to_document
+from feedloom.operators.normalize import flatten_responses, normalize_generic, typed_items
+from feedloom.operators.upsert import RUN_ORDER, indexing_summary, latest_per_key, ordered_writes, to_document
 from feedloom.session import materialize
 from feedloom.sources.article_index import ArticleIndex, Commit
 from feedloom.sources.run_log import append_metrics, batch_recorded
 
 Parser = Callable[[DataFrame, DataFrame, Column], DataFrame]
 Sink = Callable[[DataFrame], None]
+Check = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -34,6 +35,11 @@ def parse_generic(raw: DataFrame, config: DataFrame, run_at: Column) -> DataFram
     return normalize_generic(flatten_responses(raw, config), run_at)
 
 
+def parse_typed(raw: DataFrame, config: DataFrame, run_at: Column) -> DataFrame:
+    """Bodies of the typed provider; their sources need no mapping."""
+    return typed_items(raw, config, run_at)
+
+
 def process(
     raw: DataFrame,
     config: DataFrame,
@@ -76,9 +82,9 @@ def failures_of(items: DataFrame, fetch_failures: DataFrame | None = None) -> Da
     return found.groupBy(*RUN_KEYS).agg(F.min_by("error_message", "_stage").alias("error_message"))
 
 
-def misconfigured(sources: DataFrame, runs: list[str]) -> DataFrame:
+def misconfigured(sources: DataFrame, runs: list[str], check: Check = check_config) -> DataFrame:
     """A failure of every wrongly configured source in each run, whether it answered or not."""
-    wrong = check_config(sources).where("error_message IS NOT NULL")
+    wrong = check(sources).where("error_message IS NOT NULL")
     run_ids = F.array(*map(F.lit, runs)).cast("array<string>")
     return wrong.select(F.explode(run_ids).alias("run_id"), F.col("name").alias("source_name"), "error_message")
 
@@ -94,6 +100,7 @@ def ingest(
     fetch_failures: DataFrame | None = None,
     batch_id: str | None = None,
     parser: Parser = parse_generic,
+    check: Check | None = None,
     sink: Sink | None = None,
     **enrichment,
 ) -> RunResult:
@@ -102,7 +109,8 @@ def ingest(
     The enriched rows are written once to the shared scratch folder; merge, counts and
     failure gate read columns of that copy. With a ``batch_id`` the run may be repeated:
     the index takes a batch once and so does the run log. ``sink`` receives the merged
-    documents instead of the index, for a store of the caller's own.
+    documents instead of the index, for a store of the caller's own. ``check`` tells which
+    sources are wrongly configured; only the generic parser wants a mapping.
 
     ``raw`` may hold several runs: of two writes of a document, the one fetched later holds.
     Responses without a run belong to the run named like the batch, or like ``run_at``. The
@@ -119,11 +127,13 @@ def ingest(
     done = index.commit_of_batch(batch_id) if batch_id is not None else None
 
     default = published_default if published_default is not None else F.lit(run_at).cast("timestamp")
-    items = materialize(process(raw, sources, default, commit.dim, parser=parser, **enrichment), "items")
+    items = process(raw, sources, default, commit.dim, parser=parser, **enrichment)
+    items = materialize(items.withColumn("row", F.monotonically_increasing_id()), "items")
 
     # One value per run of the batch.
     runs = sorted(r["run_id"] for r in items.select("run_id").distinct().collect())
-    known = misconfigured(sources, runs or [batch_id or run_at.isoformat()])
+    check = check or (check_config if parser is parse_generic else check_method)
+    known = misconfigured(sources, runs or [batch_id or run_at.isoformat()], check)
     early = known if fetch_failures is None else known.unionByName(fetch_failures.select(*RUN_KEYS, "error_message"))
     early = early.groupBy(*RUN_KEYS).agg(F.min("error_message").alias("error_message"))
     failures = materialize(failures_of(items, early), "failures")
@@ -133,12 +143,11 @@ def ingest(
     summary = indexing_summary(before.select("doc_id"), writes.select(*order))
     metrics = materialize(source_metrics(items, summary, failures, run_at), "metrics")
 
-    documents = to_document(latest_per_key(writes, order=RUN_ORDER))
     if sink is not None:
-        sink(documents)
+        sink(to_document(latest_per_key(writes, order=RUN_ORDER)))
         committed = None
     else:
-        committed = index.upsert(documents, batch_id)
+        committed = index.upsert(ordered_writes(writes), batch_id, stored=True)
     if batch_id is None or not batch_recorded(spark, metrics_path, batch_id):
         append_metrics(metrics, metrics_path, batch_id)
     replies = source_summary(metrics, "run_id")

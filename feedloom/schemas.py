@@ -71,6 +71,11 @@ INDEX_DOCUMENT = _struct(
     embedding=T.ArrayType(DOUBLE),
 )
 
+# A stored document also keeps when, and by which run, it was written.
+STORED_DOCUMENT = T.StructType(
+    [*INDEX_DOCUMENT.fields, T.StructField("written_at", INSTANT), T.StructField("written_run", STRING)]
+)
+
 RUN_METRICS = _struct(
     run_at=INSTANT,
     source=STRING,

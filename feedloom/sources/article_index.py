@@ -2,8 +2,10 @@
 
 ``base`` holds the bulk of the documents, ``delta`` what changed since base was written.
 Both are bucketed and sorted by ``doc_id`` with the same bucket count, so the
-anti-join that a read or a merge needs runs bucket by bucket without an exchange. An
-upsert rewrites only the delta; once that has grown past a share of the base, both are
+join that a read or a merge needs runs bucket by bucket without an exchange. A batch is
+exchanged once, by bucket; its repeated ids are settled there, and held against the stored
+documents' place among all writes, so a batch that lands late does not replace what was
+fetched after it. An upsert rewrites only the delta; once that has grown past a share of the base, both are
 written as a new base. Data folders are never changed after they are written, and a
 commit row naming them is appended last: readers see either the old or the new state,
 and a job that dies half way leaves the index as it was. One writer at a time.
@@ -14,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import logging
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 from feedloom import schemas
 from feedloom.fixed_values import DEFAULT_DIMENSION
 from feedloom.functions.vectors import check_dimension
-from feedloom.operators.upsert import upsert
+from feedloom.operators.upsert import ORDER, WRITTEN, later, latest_per_key, upsert, without_heavy_copies
+from feedloom.session import materialize
 
 LOG = logging.getLogger(__name__)
 
@@ -86,20 +89,21 @@ class ArticleIndex:
     def _table(self, location: str, buckets: int) -> DataFrame:
         name = "feedloom_" + hashlib.md5(location.encode()).hexdigest()
         if not self.spark.catalog.tableExists(name):
-            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.INDEX_DOCUMENT.fields)
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.STORED_DOCUMENT.fields)
+            quoted = location.replace("\\", "\\\\").replace("'", "\\'")
             self.spark.sql(
                 f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (doc_id)"
-                f" SORTED BY (doc_id) INTO {buckets} BUCKETS LOCATION '{location}'"
+                f" SORTED BY (doc_id) INTO {buckets} BUCKETS LOCATION '{quoted}'"
             )
         return self.spark.table(name)
 
     def _write(self, documents: DataFrame, kind: str, buckets: int) -> tuple[str, int]:
         # Not repartitioned here: rows that come from a bucketed table already lie bucket by
-        # bucket in their tasks, and a new batch was dealt out by ``upsert``.
+        # bucket in their tasks, and a new batch was dealt out by ``_dealt``.
         location = f"{self.path}/data/{kind}-{uuid.uuid4().hex}"
         name = "feedloom_" + hashlib.md5(location.encode()).hexdigest()
         (
-            documents.select(*schemas.INDEX_DOCUMENT.names)
+            documents.select(*schemas.STORED_DOCUMENT.names)
             .write.option("path", location)
             .bucketBy(buckets, "doc_id")
             .sortBy("doc_id")
@@ -119,7 +123,7 @@ class ArticleIndex:
         if current is not None and not recreate:
             LOG.info("Index %s already exists; nothing to do", self.path)
             return current
-        empty = self.spark.createDataFrame([], schemas.INDEX_DOCUMENT)
+        empty = self.spark.createDataFrame([], schemas.STORED_DOCUMENT)
         base, _ = self._write(empty, "base", buckets)
         version = current.version + 1 if current else 1
         return self._append(Commit(version, None, dim, buckets, base, None, 0, 0))
@@ -129,11 +133,14 @@ class ArticleIndex:
         commit = self.commit(version)
         if commit is None:
             raise ValueError(f"No index at {self.path}")
-        return self._documents(commit)
+        return self._documents(commit).select(*schemas.INDEX_DOCUMENT.names)
 
     def _documents(self, commit: Commit) -> DataFrame:
         base = self._table(commit.base, commit.buckets)
-        return base if commit.delta is None else upsert(base, self._table(commit.delta, commit.buckets))
+        if commit.delta is None:
+            return base
+        delta = self._table(commit.delta, commit.buckets)
+        return base.join(delta.select("doc_id"), "doc_id", "left_anti").unionByName(delta)
 
     def count(self) -> int:
         commit = self.commit()
@@ -141,33 +148,68 @@ class ArticleIndex:
             return commit.base_rows
         return self.read().select("doc_id").count()
 
-    def upsert(self, documents: DataFrame, batch_id: str | None = None) -> Commit:
-        """Merge documents (each id once) and return the new commit.
-
-        A batch id that was committed before is not written again.
+    def _dealt(self, documents: DataFrame, commit: Commit, stored: bool) -> DataFrame:
+        """The last write of every id of a batch, dealt out by bucket: the one exchange of whole
+        documents. Writes older than what the base holds are ``stale``."""
+        optional = {"written_at": "timestamp", "written_run": "string", "source_ord": "int", "response_no": "int", "pos": "int"}
+        missing = {c: F.lit(None).cast(kind) for c, kind in optional.items() if c not in documents.columns}
+        batch = documents.withColumns(missing)
+        if not stored or "row" not in documents.columns:
+            batch = materialize(batch.withColumn("row", F.monotonically_increasing_id()), "batch")
+        wrong = (F.size("embedding") != commit.dim) | F.col("embedding").isNull()
+        refused = F.raise_error(F.lit(f"embedding dimension differs from {commit.dim}"))
+        checked = without_heavy_copies(batch).withColumn("embedding", F.when(wrong, refused).otherwise(F.col("embedding")))
+        dealt = checked.repartition(commit.buckets, "doc_id")
+        last = latest_per_key(dealt, order=(*WRITTEN, *ORDER, "row")).select(*schemas.STORED_DOCUMENT.names)
+        if not commit.base_rows:
+            return last.withColumn("stale", F.lit(False))
+        base = self._table(commit.base, commit.buckets).select("doc_id", *WRITTEN)
+        met = last.alias("new").join(base.alias("old"), F.col("new.doc_id") == F.col("old.doc_id"), "left")
+        return met.select("new.*", (F.col("old.doc_id").isNotNull() & later("old", "new")).alias("stale"))
+
+    def changed(self, documents: DataFrame, commit: Commit, stored: bool = False) -> DataFrame:
+        """What an upsert of ``documents`` writes: the first base, or the next delta."""
+        dealt = self._dealt(documents, commit, stored)
+        if commit.delta is None:
+            return dealt.where("NOT stale").drop("stale")
+        return upsert(self._table(commit.delta, commit.buckets), dealt)
+
+    def upsert(self, documents: DataFrame, batch_id: str | None = None, *, stored: bool = False) -> Commit:
+        """Merge documents and return the new commit.
+
+        ``documents`` may tell their place among all writes: ``written_at`` and ``written_run``,
+        and ``source_ord``, ``response_no`` and ``pos`` inside a run. Of several writes of an id
+        the last by that order holds, in a batch and across batches, in whatever order batches
+        land. A write without a time replaces what is there and is replaced by any later call. A
+        batch is written to the scratch folder first, unless it is ``stored`` already and its
+        rows are numbered in ``row``. A batch id that was committed before is not written again.
         """
         if batch_id is not None and (done := self.commit_of_batch(batch_id)) is not None:
             return done
         commit = self.commit() or self.create()
-        buckets = commit.buckets
-        wrong = (F.size("embedding") != commit.dim) | F.col("embedding").isNull()
-        checked = documents.withColumn(
-            "embedding",
-            F.when(
-                wrong, F.raise_error(F.lit(f"embedding dimension differs from {commit.dim}"))
-            ).otherwise(F.col("embedding")),
-        ).repartition(buckets, "doc_id")
+        changed = self.changed(documents, commit, stored)
         if commit.base_rows == 0 and commit.delta is None:
-            base, base_rows = self._write(checked, "base", buckets)
-            delta, delta_rows = None, 0
-        else:
-            changed = checked if commit.delta is None else upsert(self._table(commit.delta, buckets), checked)
-            delta, delta_rows = self._write(changed, "delta", buckets)
-            base, base_rows = commit.base, commit.base_rows
-            if delta_rows > self.rewrite_share * base_rows:
-                merged = upsert(self._table(base, buckets), self._table(delta, buckets))
-                base, base_rows = self._write(merged, "base", buckets)
-                delta, delta_rows = None, 0
-        return self._append(
-            Commit(commit.version + 1, batch_id, commit.dim, buckets, base, delta, base_rows, delta_rows)
+            base, base_rows = self._write(changed, "base", commit.buckets)
+            return self._append(Commit(commit.version + 1, batch_id, commit.dim, commit.buckets, base, None, base_rows, 0))
+        delta, delta_rows = self._write(changed, "delta", commit.buckets)
+        next_commit = Commit(
+            commit.version + 1, batch_id, commit.dim, commit.buckets, commit.base, delta, commit.base_rows, delta_rows
         )
+        if delta_rows > self.rewrite_share * commit.base_rows:
+            next_commit = self._rewritten(next_commit, commit.buckets)
+        return self._append(next_commit)
+
+    def _rewritten(self, commit: Commit, buckets: int) -> Commit:
+        """``commit`` with one base in place of its layers, not yet appended."""
+        documents = self._documents(commit)
+        if buckets != commit.buckets:
+            documents = documents.repartition(buckets, "doc_id")
+        base, base_rows = self._write(documents, "base", buckets)
+        return replace(commit, buckets=buckets, base=base, base_rows=base_rows, delta=None, delta_rows=0)
+
+    def rewrite(self, buckets: int | None = None) -> Commit:
+        """Write base and delta as a new base, in another number of buckets if the index has grown."""
+        commit = self.commit()
+        if commit is None:
+            raise ValueError(f"No index at {self.path}")
+        return self._append(replace(self._rewritten(commit, buckets or commit.buckets), version=commit.version + 1, batch_id=None))

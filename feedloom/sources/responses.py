@@ -18,10 +18,21 @@ def raw_response_stream(
 ) -> DataFrame:
     """The same as a stream over new files of a landing folder.
 
-    A body without a fetch time gets the time its file was written.
+    A body without a fetch time gets the time its file was written. ``landed_file`` names the file.
     """
     reader = spark.readStream.schema(schemas.RAW_RESPONSE).format(fmt)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    return _stamped(reader.load(path))
+
+
+def landed_responses(spark: SparkSession, files: list[str], fmt: str = "json") -> DataFrame:
+    """The same rows as the stream's, of the named files."""
+    return _stamped(spark.read.schema(schemas.RAW_RESPONSE).format(fmt).load(files))
+
+
+def _stamped(rows: DataFrame) -> DataFrame:
     written = F.col("_metadata.file_modification_time")
-    return reader.load(path).withColumn("fetched_at", F.coalesce("fetched_at", written))
+    # The path comes percent-encoded, readers want it plain; a plus sign stands for itself.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return rows.withColumns({"fetched_at": F.coalesce("fetched_at", written), "landed_file": path})

@@ -1,10 +1,15 @@
 """The stored index: creation, merging, layers, versions and the plan of a read."""
 
+import itertools
+from datetime import datetime
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from feedloom import schemas
+from feedloom.operators.upsert import ORDER, without_heavy_copies
 from feedloom.session import scratch_dir
 from feedloom.sources.article_index import ArticleIndex
 from feedloom.sources.run_log import append_metrics, metrics_history, read_metrics
@@ -97,6 +102,78 @@ def test_a_batch_is_taken_once(spark, path):
     assert contents(index) == {"a": "one"}
 
 
+def written(spark, rows):
+    """Rows of (id, title, time, run, position)."""
+    at = [(k, t, "c", "s", "u", None, "neutral", [0.0, 1.0], w, r, 0, 0, p) for k, t, w, r, p in rows]
+    schema = StructType([*schemas.STORED_DOCUMENT.fields, *(StructField(c, IntegerType()) for c in ORDER)])
+    return spark.createDataFrame(at, schema)
+
+
+DAYS = [datetime(2026, 5, day) for day in range(1, 9)]
+
+
+def test_batches_may_land_in_any_order(spark, path):
+    batches = [
+        [("a", "a1", DAYS[1], "r1", 0), ("b", "b1", DAYS[1], "r1", 1), ("a", "a1 again", DAYS[1], "r1", 2)],
+        [("a", "a0", DAYS[0], "r0", 9), ("c", "c0", DAYS[0], "r0", 0)],
+        [("b", "b2", DAYS[2], "r2", 0), ("b", "b1 late", DAYS[1], "r2", 5)],
+    ]
+    for number, order in enumerate(itertools.permutations(range(3))):
+        index = ArticleIndex(spark, f"{path}/{number}", rewrite_share=(0.4, 10)[number % 2])
+        index.create(2, buckets=2)
+        for k in order:
+            index.upsert(written(spark, batches[k]))
+        assert contents(index) == {"a": "a1 again", "b": "b2", "c": "c0"}, order
+
+
+def test_writes_without_a_time_replace_and_are_replaced(spark, path):
+    index = ArticleIndex(spark, path, rewrite_share=10)
+    index.create(2, buckets=2)
+    index.upsert(written(spark, [("a", "timed", DAYS[5], "r5", 0)]))
+    index.upsert(docs(spark, "a", "plain"))
+    assert contents(index) == {"a": "plain"}
+    index.upsert(written(spark, [("a", "older", DAYS[0], "r0", 0)]))
+    assert contents(index) == {"a": "older"}
+
+
+def test_a_batch_is_read_once_and_moved_once(spark, path):
+    index = ArticleIndex(spark, path, rewrite_share=10)
+    index.create(2, buckets=4)
+    index.upsert(written(spark, [(f"k{n}", "one", DAYS[0], "r0", n) for n in range(20)]))
+    index.upsert(written(spark, [("k1", "two", DAYS[1], "r1", 0)]))
+    batch = written(spark, [("k1", "three", DAYS[2], "r2", 0), ("k2", "three", DAYS[2], "r2", 1)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = index.changed(batch, index.commit())._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.splitlines()
+    assert sum("Exchange" in line for line in lines) == 1
+    assert sum("/batch-" in line for line in lines) == 1
+    assert sum("SortMergeJoin" in line for line in lines) == 2  # the base's places, the delta
+
+
+def test_many_copies_of_one_id_are_cut_down_first(spark):
+    rows = written(spark, [("hot", f"t{n}", DAYS[n % 8], "r", n) for n in range(50)] + [("x", "t", DAYS[0], "r", 0)] * 3)
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    left = without_heavy_copies(numbered, heavy_copies=10).select("doc_id", "title").collect()
+    assert sorted(map(tuple, left)) == [("hot", "t47"), ("x", "t"), ("x", "t"), ("x", "t")]
+    assert without_heavy_copies(numbered, heavy_copies=60).count() == 53
+
+
+def test_a_rewrite_may_change_the_number_of_buckets(spark, path):
+    index = ArticleIndex(spark, path, rewrite_share=10)
+    index.create(2, buckets=2)
+    index.upsert(docs(spark, "abc", "one"))
+    index.upsert(docs(spark, "cd", "two"))
+    commit = index.rewrite(buckets=5)
+    assert (commit.buckets, commit.delta, commit.base_rows) == (5, None, 4)
+    index.upsert(docs(spark, "de", "three"))
+    assert contents(index) == {"a": "one", "b": "one", "c": "two", "d": "three", "e": "three"}
+    assert contents(index, commit.version - 1) == {"a": "one", "b": "one", "c": "two", "d": "two"}
+
+
 def test_metrics_log_survives_missing_and_unreadable_files(spark, path, tmp_path):
     log = f"{path}/metrics"
     assert read_metrics(spark, log).count() == 0

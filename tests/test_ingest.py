@@ -1,6 +1,7 @@
 """Whole runs over small literal responses: isolation of failing sources, merge, metrics, replay."""
 
 import json
+import os
 from datetime import UTC, datetime
 
 import pytest
@@ -9,11 +10,12 @@ from pyspark.sql import functions as F
 from feedloom import schemas
 from feedloom.operators.config import source_config
 from feedloom.operators.fetch import fetch_failures, fetch_outcomes
-from feedloom.plans.ingest import ingest
+from feedloom.plans.ingest import ingest, parse_generic, parse_typed
 from feedloom.session import scratch_dir
 from feedloom.sources.article_index import ArticleIndex
 from feedloom.sources.responses import raw_responses
 from feedloom.sources.run_log import batch_recorded, metrics_history, read_metrics
+from feedloom.streaming.dead_letters import DeadLetters
 from feedloom.streaming.ingest_stream import ingest_stream
 
 RUN_AT = datetime(2026, 5, 9, 8, tzinfo=UTC)
@@ -32,7 +34,7 @@ def body(*articles):
 def article(n, **more):
     return {
         "title": f"Title {n}",
-        "description": "Useful news content",
+        "description": "Plain words about a harbour",
         "url": f"https://x/{n}",
         "source": {"name": "Wire"},
         "publishedAt": "2026-05-09T00:00:00Z",
@@ -200,7 +202,55 @@ def test_failed_stream_run_is_logged_and_the_next_one_goes_on(spark, store):
     ingest_stream(
         spark, f"{root}/landing", config_of(spark, "a"), index, metrics, f"{root}/cp"
     ).awaitTermination()
-    assert [r.url for r in index.read().collect()] == ["https://x/2"]
+    assert sorted(r.url for r in index.read().collect()) == ["https://x/1", "https://x/2"]
+
+
+def test_one_poisoned_file_keeps_no_other_out(spark, store):
+    index, metrics = store
+    root = scratch_dir(spark, "poison 1+1 %")
+    for n in range(5):
+        raw_of(spark, (f"s{n}", body(article(n)))).coalesce(1).write.mode("append").json(f"{root}/landing")
+    args = (spark, f"{root}/landing", config_of(spark, *(f"s{n}" for n in range(6))), index, metrics, f"{root}/cp")
+
+    def picky(raw, config, run_at):
+        if not raw.where("source = 's3' AND body NOT LIKE '%repaired%'").isEmpty():
+            raise RuntimeError("cannot read this one")
+        return parse_generic(raw, config, run_at)
+
+    ingest_stream(*args, stop_on_error=False, parser=picky).awaitTermination()
+    assert index.count() == 0
+    raw_of(spark, ("s5", body(article(5)))).coalesce(1).write.mode("append").json(f"{root}/landing")
+    ingest_stream(*args, stop_on_error=False, parser=picky).awaitTermination()
+    assert sorted(r.url[-1] for r in index.read().collect()) == ["0", "1", "2", "4", "5"]
+    letters = DeadLetters(spark, f"{root}/cp-retry")
+    bad = letters.waiting()[0].removeprefix("file:")
+    with open(bad, "w") as file:
+        good = {"run_id": "r1", "source": "s3", "source_ord": 0, "response_no": 0, "body": body(article(3, title="repaired"))}
+        file.write(json.dumps(good) + "\n")
+    os.remove(os.path.join(os.path.dirname(bad), f".{os.path.basename(bad)}.crc"))
+    ingest_stream(*args, stop_on_error=False, parser=picky).awaitTermination()
+    assert index.count() == 6 and letters.waiting() == []
+    ingest_stream(*args, stop_on_error=False, parser=picky).awaitTermination()
+    assert read_metrics(spark, metrics).count() == 6
+
+
+def test_an_unreadable_typed_body_fails_its_source(spark, store):
+    index, metrics = store
+    good = json.dumps({"status": "ok", "articles": [article(1), article(2, url=" "), article(3, title=None)]})
+    bodies = [
+        ("good", good), ("empty", "{}"), ("none", "null"), ("cut", good[:-9]), ("typed", '{"articles": {"a": 1}}'),
+        ("array", "[]"), ("missing", None), ("mixed", good), ("mixed", "{"),
+    ]
+    names = sorted({n for n, _ in bodies})
+    rows = [(n, None, None, "http://x", "POST" if n == "posts" else None, None, None, None, None) for n in [*names, "posts"]]
+    config = source_config(spark.createDataFrame(rows, schemas.SOURCE_CONFIG))
+    result = ingest(raw_of(spark, *bodies), config, index, metrics, run_at=RUN_AT, parser=parse_typed)
+    found = {r.source: (r.status, r.fetched_count, r.indexed_count) for r in result.metrics.collect()}
+    assert found.pop("good") == ("SUCCESS", 3, 1)
+    assert found.pop("empty") == found.pop("none") == ("SUCCESS", 0, 0)
+    assert found.keys() == {"cut", "typed", "array", "missing", "mixed", "posts"} and set(found.values()) == {("FAILED", 0, 0)}
+    stored = index.read().collect()
+    assert [(r.url, r.title, r.content) for r in stored] == [("https://x/1", "Title 1", "Plain words about a harbour")]
 
 
 def test_the_later_run_wins_whatever_its_positions(spark, store):
