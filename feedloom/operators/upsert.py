@@ -16,7 +16,7 @@ WRITTEN = ("written_at", "written_run")
 HEAVY_COPIES = 100_000
 
 
-def to_document(enriched: DataFrame, *more: str) -> DataFrame:
+def to_document(enriched: DataFrame, *more: str | Column) -> DataFrame:
     """The stored fields (and ``more``); author and external id are not part of the index."""
     return enriched.select(
         "doc_id",

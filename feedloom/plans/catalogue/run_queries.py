@@ -60,12 +60,14 @@ kept AS (
 @query(
     f"""
 WITH {S.ARTICLES}
-SELECT landing, sha256(url) AS doc_id, CASE WHEN l.doc_id IS NULL THEN title ELSE 'Corrected: ' || title END AS title
-FROM articles a LEFT JOIN labels l ON l.doc_id = a.doc_id, (VALUES ('in order'), ('late first')) v(landing)
+SELECT sha256(url) AS doc_id, CASE WHEN l.doc_id IS NULL THEN title ELSE 'Corrected: ' || title END AS title,
+       l.doc_id IS NOT NULL AS late
+FROM articles a LEFT JOIN labels l ON l.doc_id = a.doc_id
 """
 )
 def merge_of_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents, and corrections that were fetched a day later, land in either order."""
+    """All documents, and corrections that were fetched a day later, in one index: corrections of
+    even documents land after them, those of odd documents before."""
     articles = I.keyed_articles(spark, sf_dir).withColumn("sentiment", F.lit("neutral"))
     labels = I.read(spark, sf_dir, "labels").select(F.col("doc_id").alias("n"))
     first = articles.withColumns({"written_at": F.lit(I.RUN_AT), "written_run": F.lit("run-1")})
@@ -76,14 +78,13 @@ def merge_of_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             "title": F.concat(F.lit("Corrected: "), "title"),
         }
     )
-    out = None
-    for landing, batches in (("in order", (first, second)), ("late first", (second, first))):
-        index, _ = _index(spark)
-        for batch in batches:
-            index.upsert(to_document(with_hash_embedding(batch, 16), "written_at", "written_run"))
-        found = index.read().select(F.lit(landing).alias("landing"), "doc_id", "title")
-        out = found if out is None else out.unionByName(found)
-    return out
+    even = F.col("n") % 2 == 0
+    index, _ = _index(spark)
+    for batch in (first.where(even).unionByName(second.where(~even)), second.where(even).unionByName(first.where(~even))):
+        documents = to_document(with_hash_embedding(batch, 16), "written_at", "written_run", F.col("n").alias("row"))
+        index.upsert(documents, stored=True)
+    late = index.read_writes().select("doc_id", (F.col("written_run") == "run-2").alias("late"))
+    return index.read().select("doc_id", "title").join(late, "doc_id")
 
 
 @query(

@@ -135,6 +135,13 @@ class ArticleIndex:
             raise ValueError(f"No index at {self.path}")
         return self._documents(commit).select(*schemas.INDEX_DOCUMENT.names)
 
+    def read_writes(self, version: int | None = None) -> DataFrame:
+        """Every stored id with the time and run of its last write."""
+        commit = self.commit(version)
+        if commit is None:
+            raise ValueError(f"No index at {self.path}")
+        return self._documents(commit).select("doc_id", *WRITTEN)
+
     def _documents(self, commit: Commit) -> DataFrame:
         base = self._table(commit.base, commit.buckets)
         if commit.delta is None:
@@ -181,8 +188,8 @@ class ArticleIndex:
         and ``source_ord``, ``response_no`` and ``pos`` inside a run. Of several writes of an id
         the last by that order holds, in a batch and across batches, in whatever order batches
         land. A write without a time replaces what is there and is replaced by any later call. A
-        batch is written to the scratch folder first, unless it is ``stored`` already and its
-        rows are numbered in ``row``. A batch id that was committed before is not written again.
+        batch is written to the scratch folder first, unless it is ``stored`` already, or as
+        good as that, and its rows are numbered in ``row``. A batch id that was committed before is not written again.
         """
         if batch_id is not None and (done := self.commit_of_batch(batch_id)) is not None:
             return done
