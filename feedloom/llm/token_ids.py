@@ -44,7 +44,8 @@ class PieceEncoder:
     The tokenizer never joins what stands before a single space or beside a single line break
     to what follows, nor letters or digits to a full stop or comma, so texts are cut there and
     the library encodes the distinct pieces, many in one call. Where white space is anything
-    else, or a stop follows another sign, the library encodes the whole text. The pieces known
+    else, or a stop follows another sign, or the text spells an added token, the library encodes
+    the whole text. The pieces known
     are dropped when there are ``limit`` of them, which bounds memory and changes no id.
     """
 
@@ -52,7 +53,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.limit = limit
         self.line_break = self.whole("\n")
         vocabulary = self.tokenizer.get_vocab()
@@ -123,7 +124,10 @@ class PieceEncoder:
         """All ids of the texts one after the other, and how many each text has."""
         if len(self.index) > self.limit:
             self.clear()
-        cut = texts.cast(pa.large_string())
+        special = pc.match_substring(texts, "\0")
+        for token in self.added:
+            special = pc.or_(special, pc.match_substring(texts, token))
+        cut = pc.if_else(special, pa.scalar("", pa.large_string()), texts.cast(pa.large_string()))
         for old, new in (("\n", "\0\n\0"), (" ", "\0 "), (".\0", "\0.\0"), (",\0", "\0,\0")):
             cut = pc.replace_substring(cut, old, new)
         cut = pc.split_pattern(cut, "\0")
@@ -140,7 +144,7 @@ class PieceEncoder:
         odd = counts < 0
         stop = (at == index["."]) | (at == index[","])
         odd[1:] |= self.sign[at[:-1]] & stop[1:] & (owner[1:] == owner[:-1])
-        direct = pc.match_substring(texts, "\0").to_numpy(zero_copy_only=False)
+        direct = special.to_numpy(zero_copy_only=False)
         direct = direct | (np.bincount(owner[odd], minlength=len(texts)) > 0)
         counts[direct[owner]] = 0
         lengths = np.bincount(owner, weights=counts, minlength=len(texts)).astype(np.int64)

@@ -84,7 +84,6 @@ def _brute_tokens(rows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file())
-    tokenizer.encode_special_tokens = True
     start, out = 0, []
     for doc_id, text in rows:
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
@@ -102,12 +101,14 @@ def test_token_ids_of_the_documents(spark):
 def test_token_ids_of_odd_texts(spark):
     texts = [
         None, "", " ", "\n", "a", " a", "a ", "a\n\nb\n", "x  y", "a.b.,c ., d!., e", "x　 　y z  w", "\0", "a\0b. c",
-        "<|endoftext|> a<|endoftext|>", "don't we'll.\nIt's 1,000. 2,5 x. .y", "é, è.\tq\r\n\x1c ​", "\U0001f600. \U0001f600", "w " * 100_000,
+        "<|endoftext|> a<|endoftext|>", "x <|endoftext|> y", "a. <|endoftext|>\n<|endoftext|>\nb c", "don't we'll.\nIt's 1,000. 2,5 x. .y", "é, è.\tq\r\n\x1c ​", "\U0001f600. \U0001f600", "w " * 100_000,
     ]
     rows = list(enumerate(texts))
     docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, start long").repartition(5)
     got = tokenize_documents(spark, docs, tokenizer_file())
     assert sorted(map(tuple, got.collect())) == _brute_tokens(rows)
+    special = got.where(f"doc_id = {texts.index('x <|endoftext|> y')}").first()
+    assert special.ids_crc32 == zlib.crc32(np.array([87, 220, 50256, 331, 0], dtype="<u4").tobytes())
     assert tokenize_documents(spark, docs.limit(0), tokenizer_file()).count() == 0
     same = spark.createDataFrame([(7, "a b")] * 3 + [(None, "c")], "doc_id long, text string")
     again = sorted(tokenize_documents(spark, same, tokenizer_file()).collect(), key=lambda r: r.start)
