@@ -7,8 +7,8 @@ distribution smooths the second, so with few trusted texts the ratio tends to 0.
 ratio is the mean over its n-grams, which makes it independent of its length, and documents
 under ``MIN_RATIO`` are rejected. The verdict depends on counts alone, never on a draw.
 
-The trusted model is fitted on at most ``TRUSTED_ROWS`` labelled documents (those of smallest
-hash), so their ids may be broadcast; all other counts cover every document.
+Both models count every document. The ids of trusted documents are broadcast if they are few,
+else they meet the texts in a join that spreads ids with very many rows.
 
 Defined cases: a null or empty text has no words and fails the base rule; without trusted
 documents every ratio is 0; a null id is scored but never trusted; ties and repeated rows are
@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.inputs import table, words
 from feedloom.operators.columns import computed_once
+from feedloom.operators.joins import join_small
 
 BUCKETS = 1 << 16
 PRIOR = 1 << 16
 MIN_RATIO = -0.12
-TRUSTED_ROWS = 20_000
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 # The signs counted as symbols.
@@ -93,19 +93,9 @@ def bucket(*ngram: Column) -> Column:
 
 def ratio_table(docs: DataFrame, trusted: DataFrame) -> list[float]:
     """Log ratio of the trusted to the corpus multinomial for every bucket (a list of fixed size)."""
-    ids = (
-        trusted.select(F.col("doc_id").alias("trusted_id"))
-        .where("trusted_id IS NOT NULL")
-        .distinct()
-        .orderBy(F.xxhash64("trusted_id"), "trusted_id")
-        .limit(TRUSTED_ROWS)
-        .withColumn("trusted", F.lit(1))
-    )
-    flagged = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(ids), F.col("doc_id") == F.col("trusted_id"), "left")
-        .select(tokens(F.col("text")).alias("tokens"), "trusted")
-    )
+    ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("trusted", F.lit(1))
+    flagged = join_small(docs.select("doc_id", "text"), ids, "doc_id", "left")
+    flagged = flagged.select(tokens(F.col("text")).alias("tokens"), "trusted")
     following = F.slice("tokens", F.lit(2), F.greatest(F.size("tokens") - 1, F.lit(0)))
     pairs = flagged.select(F.explode(F.arrays_zip("tokens", following.alias("next"))).alias("at"), "trusted")
     first, second = F.col("at")["tokens"], F.col("at")["next"]
