@@ -25,11 +25,9 @@ def _small_stars(edges: DataFrame) -> DataFrame:
 
 def _are_stars(edges: DataFrame) -> bool:
     """Whether every node has one smaller neighbour at most, and that one has none."""
-    per = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("v"))
-    centres = per.select(F.col("v").alias("u"))
-    chained = per.join(centres, "u", "left_semi").select(F.lit(True).alias("found"))
-    split = per.where("n > 1").select(F.lit(True).alias("found"))
-    return not chained.unionByName(split).limit(1).count()
+    ends = F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))
+    per = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return per.where("up > 1 OR up = 1 AND least = 0").isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -60,8 +60,9 @@ def tilts(counts: DataFrame, targets: DataFrame) -> DataFrame:
     ``MAX_COPIES`` times.
     """
     free = (F.col("source_size") > 0) & (F.col("target") < F.col("source_size") * MAX_COPIES)
+    # One row a source: one partition, whatever the session's number.
     state = materialize(
-        targets.withColumn("mean", F.col("source_size") / F.col("n_docs"))
+        targets.coalesce(1).withColumn("mean", F.col("source_size") / F.col("n_docs"))
         .withColumn("tilt", F.when(free, F.lit(0.0)))
         .withColumn("low", -50 * F.col("mean") / F.col("min_size"))
         .withColumn("high", math.log(MAX_COPIES) * F.col("mean") / F.col("min_size")),
@@ -87,11 +88,12 @@ def tilts(counts: DataFrame, targets: DataFrame) -> DataFrame:
             "high", F.when(F.col("gap") > 0, F.col("tilt")).otherwise(F.col("high"))
         )
         done = F.col("gap").isNull() | (F.abs("gap") <= TOLERANCE)
-        moved = materialize(moved.withColumn("tilt", F.when(done, F.col("tilt")).otherwise(step)), "mixing-tilts")
+        moved = moved.withColumn("tilt", F.when(done, F.col("tilt")).otherwise(step)).coalesce(1)
+        moved = materialize(moved, "mixing-tilts")
         state = moved.drop("mass", "slope", "gap")
-        if not moved.where(F.abs("gap") > TOLERANCE).limit(1).count():
-            break
-    return state
+        if moved.where(F.abs("gap") > TOLERANCE).isEmpty():
+            return state
+    raise RuntimeError(f"the weights were not found in {MAX_STEPS} steps")
 
 
 def mix(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -113,7 +115,7 @@ def mix(docs: DataFrame, keep: list[str]) -> DataFrame:
         F.sum("n").alias("n_docs"),
         F.min(F.when(F.col("size") > 0, F.col("size"))).alias("min_size"),
     )
-    targets = materialize(source_targets(totals), "mixing-targets")
+    targets = materialize(source_targets(totals).coalesce(1), "mixing-targets")
     same_source = F.col("source").eqNullSafe(F.col("of_source"))
     named = targets.select(F.col("source").alias("of_source"), "sid")
     keyed = counts.where("size > 0").join(named, same_source).select("sid", "size", "n")
@@ -138,7 +140,7 @@ def mix(docs: DataFrame, keep: list[str]) -> DataFrame:
     cut = materialize(
         left.join(cut, "sid", "left").select(
             "sid", F.coalesce("cut", F.lit(-1)).alias("cut"), (F.col("left") - F.coalesce("upto", F.lit(0))).alias("gap")
-        ),
+        ).coalesce(1),
         "mixing-cuts",
     )
     rounded = rated.join(cut, "sid").withColumn(
@@ -149,7 +151,8 @@ def mix(docs: DataFrame, keep: list[str]) -> DataFrame:
     last = spare.where(distance < F.col("gap")).groupBy("sid").agg(
         F.min(F.struct(distance.alias("distance"), "hash", "id", "row")).alias("best")
     )
-    last = materialize(last.select(F.col("sid").alias("last_sid"), F.col("best.row").alias("last_row")), "mixing-last")
+    last = last.select(F.col("sid").alias("last_sid"), F.col("best.row").alias("last_row")).coalesce(1)
+    last = materialize(last, "mixing-last")
     one_more = (F.col("row") == F.col("last_row")).cast("int")
     return (
         rounded.join(last, F.col("sid") == F.col("last_sid"), "left")
