@@ -24,13 +24,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The smallest document of each component. Documents without words are all kept, rows equal
     in id and text once."""
     key = F.xxhash64("doc_id", "text").alias("key")
-    keyed = docs.select(F.struct(*docs.columns).alias("own"), "doc_id", "text", key)
+    # A second hash, so that two rows are taken for equal by 128 bits.
+    more = F.xxhash64(F.lit("row"), "text", "doc_id").alias("more")
+    keyed = docs.select(F.struct(*docs.columns).alias("own"), "doc_id", "text", key, more)
     found = jaccard_components(keyed, "key")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "tag")
     first = found.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("first"))
     alone = found.where("component IS NULL").select(F.col("tag").alias("key"))
     keep = first.select(F.col("first.tag").alias("key")).unionByName(alone)
-    return keyed.select("own", "key").join(keep, "key", "left_semi").dropDuplicates(["key"]).select("own.*")
+    kept = keyed.select("own", "key", "more").join(keep, "key", "left_semi")
+    return kept.dropDuplicates(["key", "more"]).select("own.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
