@@ -4,18 +4,23 @@ from __future__ import annotations
 
 import hashlib
 import os
+import random
 import re
+import time
 import zlib
+from collections import defaultdict
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from feedloom.llm import decontamination as dec
 from feedloom.llm import html_extraction as ext
 from feedloom.llm import simple8b
 from feedloom.llm.chat import OP8_SQL, conversation_digests, escape, format_examples, op8_chat_format, unescape
 from feedloom.llm.decontamination import OP7_SQL, contaminated, match_benchmark, op7_decontamination
+from feedloom.llm.html_markup import path_id, read_page
 from feedloom.llm.token_ids import op10_token_ids, tokenize_documents, tokenizer_file
 
 SMALL = "/root/testdata/sf0.001"
@@ -192,16 +197,30 @@ def test_the_template_finds_unmarked_articles(spark):
     assert got[5] == "T5\n" + " ".join(f"w5{i}" for i in range(60))
 
 
+def _classes(spark, rows):
+    """Valid classes of (host, row, html), with paths named."""
+    named = {}
+    for path in ("body", "body>div", "body>div>p", "body>ul", "body>ul>li"):
+        named[path_id(path)] = path
+    pages = spark.createDataFrame([(h, html) for h, html in rows], "host string, html string")
+    parsed = ext.parse_pages(pages.select(F.struct("host").alias("own"), "host", "html"))
+    sizes = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
+    found = defaultdict(set)
+    for r in ext.equivalence_classes(ext.page_tokens(parsed), sizes).collect():
+        found[r.vector, r.support, r.most].add(named.get(r.token, "text"))
+    return {(support, most, frozenset(members)) for (_, support, most), members in found.items()}
+
+
 def test_equivalence_classes_share_occurrence_vectors(spark):
-    pages = [(k, "a", "<body><div><p>x<p>y</div>" + "<ul><li>z</ul>" * (k % 2) + "</body>") for k in range(4)]
-    frame = spark.createDataFrame(pages, "page long, host string, html string")
-    classes = ext.equivalence_classes(ext.page_tokens(frame)).collect()
-    found = {(c.support, c.most, frozenset(m.path for m in c.members)) for c in classes}
-    assert found == {
+    rows = [("a", "<body><div><p>x<p>y</div>" + "<ul><li>z</ul>" * (k % 2) + "</body>") for k in range(4)]
+    expected = {
         (4, 1, frozenset({"body", "body>div"})),
         (4, 2, frozenset({"body>div>p"})),
         (2, 1, frozenset({"body>ul", "body>ul>li"})),
     }
+    assert _classes(spark, rows) == expected
+    # Equal pages are told apart, so vectors of a doubled table are as they were.
+    assert _classes(spark, rows * 2) == {(2 * n, most, members) for n, most, members in expected}
 
 
 def test_odd_pages(spark):
@@ -223,7 +242,7 @@ def test_odd_pages(spark):
 
 def test_side_names_on_wrappers_of_the_article():
     def read(html):
-        return ext.main_text(html, None)
+        return ext.main_text(ext.parsed_page(html), None)
 
     tail = "<div class='sidebar'><p>more</p></div><div class=notice>n</div></div></body>"
     assert read(f"<body><div class='content-sidebar-wrap'><main><p>the text</p></main>{tail}") == "the text"
@@ -255,6 +274,65 @@ def test_text_that_is_template_on_the_host_is_dropped(spark):
 
 
 def test_one_odd_page_does_not_repeat_an_element(spark):
-    rows = [("h", k, p, 1 + (k == 0 and p != ""), 9, False, 1) for k in range(30) for p in ("", "body>div")]
-    (found,) = ext.equivalence_classes(spark.createDataFrame(rows, ext.TOKENS)).collect()
+    rows = [("h", k, 5, 1 + (k == 0), False, None, 0, 0, 1) for k in range(30)]
+    sizes = spark.createDataFrame([("h", 30)], "host string, host_pages long")
+    (found,) = ext.equivalence_classes(spark.createDataFrame(rows, ext.TOKENS), sizes).collect()
     assert (found.support, found.most) == (30, 1)
+
+
+def _extracted(spark, rows):
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [(r.own.page_id, r.text) for r in ext.extract_text(frame).collect()]
+
+
+def test_a_strip_that_is_longer_than_the_story(spark):
+    """The strip fills its element on every page; it is template however short the stories are."""
+    strip = "Read the whole of our paper for a month without paying, and stop whenever you like to do so."
+    rows = [(k, "http://a.example/", f"<body><div class=x><p>Short story {k}</p><div class=strip>{strip}</div></div></body>") for k in range(20)]
+    assert sorted(_extracted(spark, rows)) == [(k, f"Short story {k}") for k in range(20)]
+
+
+def test_doubled_tables_and_null_ids_give_the_same_texts(spark):
+    def page(k):
+        figure = "<figure><img src=x></figure>" if k % 2 else ""
+        even = "" if k % 2 else "<p>as the others say</p>"
+        return f"<body><div class=story><h1>T{k}</h1><p>{'word ' * (20 + k)}</p>{even}{figure}</div><div class=low>about us</div></body>"
+
+    rows = [(k, "http://a.example/", page(k)) for k in range(16)]
+    single = sorted(_extracted(spark, rows))
+    assert all(("as the others say" in text) == (k % 2 == 0) and "about us" not in text for k, text in single)
+    assert sorted(_extracted(spark, rows * 2)) == sorted(single * 2)
+    assert sorted(t for _, t in _extracted(spark, [(None, u, h) for _, u, h in rows])) == sorted(t for _, t in single)
+
+
+def test_reading_is_linear():
+    pages = ["<b>" * 100_000 + "</i>" * 100_000 + "x", "<div>" * 100_000 + "x", "<p><caption>" + "<div>" * 100_000 + "x", "<ul>" + "<li><p>x" * 100_000]
+    for page in pages:
+        read_page("<p>warm")
+        start = time.process_time()
+        _, blocks = read_page(page)
+        assert time.process_time() - start < 4 and blocks[-1].text == "x"
+
+
+def test_deep_elements_keep_paths_of_their_own(spark):
+    """A template below many wrappers, and formulas inside the article."""
+    wrap = "<div>" * 60
+    rows = [(k, "http://a.example/", f"<body>{wrap}<div class=t><p>T{k} is <math><mi>x</mi></math> {'w ' * 30}</p></div><div class=u>fixed line</div>") for k in range(9)]
+    assert sorted(_extracted(spark, rows)) == [(k, f"T{k} is x {'w ' * 30}".strip()) for k in range(9)]
+
+
+def _plain_main(rows):
+    """A plain version for pages without article marks: drop what is on all pages of the host in an element of its own."""
+    blocks = {k: re.findall(r"<(?:p|h1|div class=\w+)>([^<]+)<", html) for k, html in rows}
+    common = set.intersection(*map(set, blocks.values()))
+    return sorted((k, "\n".join(b.strip() for b in found if b not in common)) for k, found in blocks.items())
+
+
+def test_unmarked_pages_against_a_plain_version(spark):
+    draw = random.Random(2)
+    rows = []
+    for k in range(40):
+        story = "".join(f"<p>{' '.join(draw.choice('abcdefgh') * draw.randint(2, 6) for _ in range(draw.randint(5, 30)))}</p>" for _ in range(draw.randint(1, 6)))
+        rows.append((k, f"<body><div class=top>Daily paper</div><div class=story><h1>Head {k}</h1>{story}<div class=hint>Write to us</div></div><div class=low>all rights</div></body>"))
+    assert sorted(_extracted(spark, [(k, "http://c.example/x", h) for k, h in rows])) == _plain_main(rows)
+
