@@ -226,8 +226,8 @@ def stream_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
         raise RuntimeError("the parser is out of order")
 
     args = (spark, f"{root}/landing", config, index, f"{root}/metrics", f"{root}/checkpoint")
-    raw.filter("source_ord < 10").write.json(f"{root}/landing")
+    raw.filter("source_ord < 10").write.json(f"{root}/landing", compression="gzip")
     ingest_stream(*args, stop_on_error=False, labeller=_labeller, parser=out_of_order).awaitTermination()
-    raw.filter("source_ord >= 10").write.mode("append").json(f"{root}/landing")
+    raw.filter("source_ord >= 10").write.mode("append").json(f"{root}/landing", compression="gzip")
     ingest_stream(*args, stop_on_error=False, labeller=_labeller).awaitTermination()
     return index.read().groupBy("source", "sentiment").agg(F.count(F.lit(1)).alias("documents"))
