@@ -17,8 +17,13 @@ from feedloom.fixed_values import (
     POSITIVE,
     POSITIVE_KEYWORDS,
 )
+from feedloom.functions.automaton import keyword_balance
 from feedloom.functions.text import article_text, col_of
 
+# Lexicons of more words than this, together, go through an automaton: the plan does not grow with
+# them, and a text is read once.
+EXPRESSION_KEYWORDS = 100
+
 
 def keyword_hits(text: str | Column, keywords: Sequence[str]) -> Column:
     """How many different keywords occur anywhere in the text, also inside words.
@@ -27,6 +32,7 @@ def keyword_hits(text: str | Column, keywords: Sequence[str]) -> Column:
     shorter one was found, which spares a third of the scans of most texts.
     """
     text = col_of(text)
+    keywords = tuple(dict.fromkeys(keywords))
     shortest = [k for k in keywords if not any(o != k and o in k for o in keywords)]
     longer: dict[str, list[str]] = {k: [] for k in shortest}
     for keyword in keywords:
@@ -45,7 +51,10 @@ def keyword_label(
     negative: Sequence[str] = NEGATIVE_KEYWORDS,
 ) -> Column:
     """Label of already lower-case text: the lexicon with more hits, else neutral."""
-    balance = keyword_hits(text, positive) - keyword_hits(text, negative)
+    if len(positive) + len(negative) > EXPRESSION_KEYWORDS:
+        balance = keyword_balance(col_of(text), positive, negative)
+    else:
+        balance = keyword_hits(text, positive) - keyword_hits(text, negative)
     return F.when(balance > 0, POSITIVE).when(balance < 0, NEGATIVE).otherwise(NEUTRAL)
 
 

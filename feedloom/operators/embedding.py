@@ -94,24 +94,32 @@ def read_embedding_replies(responses: DataFrame, dim: int) -> DataFrame:
     )
 
 
+def embedding_vectors(responses: DataFrame, dim: int) -> DataFrame:
+    """``doc_id``, ``_vector``, ``_vector_error`` and ``_found`` of every document with a reply.
+
+    Should one have several, a usable one comes first and of those the one with the smallest
+    text holds.
+    """
+    read = read_embedding_replies(responses, dim)
+    reply = F.struct(F.col("embedding").alias("_vector"), F.col("embedding_error").alias("_vector_error"))
+    order = F.struct(F.col("embedding_error").isNotNull(), F.col("embedding").cast("string"), "embedding_error")
+    best = read.groupBy("doc_id").agg(F.min_by(reply, order).alias("_reply"))
+    return best.select("doc_id", "_reply.*", F.lit(True).alias("_found"))
+
+
+def vector_columns() -> tuple[Column, Column]:
+    """``embedding`` and ``embedding_error`` of rows that were joined to ``embedding_vectors``."""
+    error = F.when(F.col("_found").isNull(), F.lit(EMBEDDING_MISSING_MESSAGE)).otherwise(F.col("_vector_error"))
+    return F.col("_vector").alias("embedding"), error.alias("embedding_error")
+
+
 def apply_embedding_responses(
     articles: DataFrame, responses: DataFrame, dim: int, heavy: DataFrame | None = None
 ) -> DataFrame:
     """Attach reply vectors; an unusable or missing reply sets ``embedding_error`` (no fallback).
 
-    Should one document have several replies, a usable one comes first and of those the one
-    with the smallest text holds, so that no article is repeated.
+    Replies are one row a document, so that no article is repeated.
     """
-    read = read_embedding_replies(responses, dim)
-    reply = F.struct("embedding", "embedding_error")
-    order = F.struct(F.col("embedding_error").isNotNull(), F.col("embedding").cast("string"), "embedding_error")
-    replies = (
-        read.groupBy("doc_id").agg(F.min_by(reply, order).alias("_reply")).select("doc_id", "_reply.*", F.lit(True).alias("_found"))
-    )
-    return join_skewed(articles, replies, "doc_id", "left", heavy).select(
-        *articles.columns,
-        "embedding",
-        F.when(F.col("_found").isNull(), F.lit(EMBEDDING_MISSING_MESSAGE))
-        .otherwise(F.col("embedding_error"))
-        .alias("embedding_error"),
-    )
+    own = [c for c in articles.columns if c not in ("embedding", "embedding_error")]
+    joined = join_skewed(articles.select(*own), embedding_vectors(responses, dim), "doc_id", "left", heavy)
+    return joined.select(*own, *vector_columns())

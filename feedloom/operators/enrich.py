@@ -11,12 +11,14 @@ from feedloom.functions.hashing import document_id
 from feedloom.functions.lexicon import keyword_sentiment
 from feedloom.functions.text import article_text
 from feedloom.functions.vectors import check_dimension, hashed_vector
-from feedloom.operators.embedding import apply_embedding_responses
-from feedloom.operators.joins import heavy_keys, join_small
-from feedloom.operators.sentiment import apply_sentiment_responses
+from feedloom.operators.embedding import embedding_vectors, vector_columns
+from feedloom.operators.joins import heavy_keys, join_skewed, join_small
+from feedloom.operators.sentiment import sentiment_labels
 
 # A labeller or embedder is a user's ``(title, content) -> Column``.
 TextFunction = Callable[[str, str], Column]
+# Ids whose copies hold more text than this are spread over tasks when replies are joined.
+HEAVY_BYTES = 1 << 28
 
 
 def with_document_id(articles: DataFrame) -> DataFrame:
@@ -40,14 +42,21 @@ def enrich(
     """
     check_dimension(dim)
     result = with_document_id(articles)
-    # Copies of one article share an id, so replies are joined with an eye on heavy ids.
-    heavy = heavy_keys(result, "doc_id")
-    if sentiment_responses is not None:
-        result = apply_sentiment_responses(result, sentiment_responses, heavy=heavy)
-    else:
-        result = result.withColumn("sentiment", labeller("title", "content"))
-    if embedding_responses is not None:
-        return apply_embedding_responses(result, embedding_responses, dim, heavy)
+    labels = None if sentiment_responses is None else sentiment_labels(sentiment_responses)
+    vectors = None if embedding_responses is None else embedding_vectors(embedding_responses, dim)
+    replies = vectors if labels is None else labels if vectors is None else labels.join(vectors, "doc_id", "full")
+    if replies is not None:
+        # Both kinds of replies meet first, by id alone, so whole articles move once. Copies of one
+        # article share an id: heavy ones, by the size of their texts, are spread over tasks.
+        size = F.octet_length(F.coalesce("title", F.lit(""))) + F.octet_length(F.coalesce("content", F.lit("")))
+        heavy = heavy_keys(result, "doc_id", HEAVY_BYTES, weight=size)
+        own = result.columns
+        result = join_skewed(result, replies, "doc_id", "left", heavy)
+    sentiment = labeller("title", "content")
+    sentiment = (sentiment if labels is None else F.coalesce("_label", sentiment)).alias("sentiment")
+    if vectors is not None:
+        return result.select(*own, sentiment, *vector_columns())
+    result = result.select(*(own if replies is not None else result.columns), sentiment)
     if embedder is None:
         vector = hashed_vector(article_text("title", "content"), dim)
         return result.withColumn("embedding", vector).withColumn(

@@ -93,10 +93,16 @@ def search(
     if min_score is not None and min_score < 0:
         raise ValueError(BAD_MIN_SCORE_MESSAGE)
     vector = query_vector(index.sparkSession, q, dim)
+    spark = index.sparkSession
     best = min_score_filter(knn(index.select("doc_id", "embedding"), vector, size), min_score)
-    # Only the hits' metadata are read: at most MAX_SIZE rows travel to that scan.
-    found = index.select("doc_id", *METADATA).join(F.broadcast(best), "doc_id")
-    return search_projection(found.orderBy(F.desc("score"), "doc_id"))
+    best = best.select("doc_id", "score")
+    hits = best.collect()  # MAX_SIZE rows at most
+    # Their ids stand in the scan's filter: an index that is bucketed and sorted by id, with Bloom
+    # filters, reads the row groups of the hits and no others.
+    stored = index.select("doc_id", *METADATA).where(F.col("doc_id").isin([r["doc_id"] for r in hits]))
+    found = stored.join(F.broadcast(spark.createDataFrame(hits, best.schema)), "doc_id")
+    # With a limit the order needs no sample of the rows, which would read them twice.
+    return search_projection(found.orderBy(F.desc("score"), "doc_id").limit(MAX_SIZE))
 
 
 def search_batch(index: DataFrame, requests: DataFrame, *, dim: int) -> DataFrame:

@@ -67,6 +67,13 @@ def reply_label(status: str | Column, body: str | Column) -> Column:
     return F.when(status.between(200, 299), found)
 
 
+def sentiment_labels(responses: DataFrame) -> DataFrame:
+    """``doc_id`` and ``_label`` of every document with a usable reply. Should one have several, the
+    alphabetically first label holds."""
+    read = responses.select("doc_id", reply_label("status", "body").alias("_label"))
+    return read.filter(F.col("_label").isNotNull()).groupBy("doc_id").agg(F.min("_label").alias("_label"))
+
+
 def apply_sentiment_responses(
     articles: DataFrame,
     responses: DataFrame,
@@ -76,16 +83,9 @@ def apply_sentiment_responses(
 ) -> DataFrame:
     """Label each article from its reply; without a usable one from the lexicon.
 
-    Replies shrink to ``(doc_id, label)`` before the shuffle. Should one document have
-    several usable replies, the alphabetically first label holds.
+    Replies shrink to ``(doc_id, label)`` before the shuffle.
     """
-    labels = (
-        responses.select("doc_id", reply_label("status", "body").alias("_label"))
-        .filter(F.col("_label").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.min("_label").alias("_label"))
-    )
     fallback = keyword_sentiment("title", "content", positive, negative)
-    return join_skewed(articles, labels, "doc_id", "left", heavy).select(
+    return join_skewed(articles, sentiment_labels(responses), "doc_id", "left", heavy).select(
         *articles.columns, F.coalesce("_label", fallback).alias("sentiment")
     )

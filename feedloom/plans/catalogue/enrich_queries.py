@@ -72,6 +72,29 @@ def lexicon_sentiment_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("n", "sentiment")
 
 
+# A lexicon too large for an expression: every second pair of syllables is positive.
+_SYLLABLES = ("th", "an", "er", "on", "re", "en", "ti", "ou", "sch", "eau", "ión", "ung", "ing", "ment", "ly", "ado")
+_PAIRS = [a + b for a in _SYLLABLES for b in _SYLLABLES]
+_LARGE_POSITIVE, _LARGE_NEGATIVE = _PAIRS[::2], _PAIRS[1::2]
+
+
+def _large_hits(words: list[str]) -> str:
+    return f"len(list_filter([{', '.join(map(repr, words))}], lambda k: contains(t, k)))"
+
+
+@query(
+    f"""
+WITH {S.ARTICLES}, texts AS (SELECT doc_id, lower(title || ' ' || content) AS t FROM articles)
+SELECT doc_id AS n, CASE WHEN {_large_hits(_LARGE_POSITIVE)} > {_large_hits(_LARGE_NEGATIVE)} THEN 'positive'
+  WHEN {_large_hits(_LARGE_POSITIVE)} < {_large_hits(_LARGE_NEGATIVE)} THEN 'negative' ELSE 'neutral' END AS sentiment
+FROM texts
+"""
+)
+def lexicon_sentiment_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = with_keyword_sentiment(I.articles(spark, sf_dir), _LARGE_POSITIVE, _LARGE_NEGATIVE)
+    return labelled.select("n", "sentiment")
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 

@@ -204,6 +204,40 @@ def ingest_own_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("doc_id", "title", "source", "sentiment", F.lit(index.count()).alias("in_index"))
 
 
+@query(
+    f"""
+WITH {_KEPT}
+SELECT sha256(url) AS doc_id, CASE WHEN l.doc_id IS NULL THEN
+         {S.lexicon("lower(title || ' ' || body)", I.POSITIVE_FRAGMENTS, I.NEGATIVE_FRAGMENTS)}
+         WHEN quality = 1 THEN 'positive' ELSE 'negative' END AS sentiment,
+       k.doc_id::DOUBLE AS first, n_chars::DOUBLE AS second
+FROM kept k LEFT JOIN labels l ON l.doc_id = k.doc_id WHERE source <> 'src3'
+"""
+)
+def ingest_model_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run with tables of model replies: labels of labelled documents, the lexicon for others, a vector of
+    every document. One source has vectors that are too short, which holds it back."""
+    documents = I.read(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("n"), "source", F.col("n_chars").cast("double").alias("n_chars")
+    )
+    keyed = I.article_keys(spark, sf_dir).join(documents, "n")
+    pair = F.array(F.col("n").cast("double"), F.col("n_chars"))
+    vector = F.when(F.col("source") == "src3", F.slice(pair, 1, 1)).otherwise(pair)
+    vectors = keyed.select(
+        "doc_id", F.lit(200).alias("status"), F.to_json(F.struct(F.array(F.struct(vector.alias("embedding"))).alias("data"))).alias("body")
+    )
+    word = F.when(F.col("quality") == 1, F.lit("Positive")).otherwise(F.lit("NEGATIVE"))
+    content = F.to_json(F.struct(word.alias("sentiment")))
+    choices = F.array(F.struct(F.struct(content.alias("content")).alias("message")))
+    labels = I.read(spark, sf_dir, "labels").withColumnRenamed("doc_id", "n").join(keyed.select("n", "doc_id"), "n")
+    labels = labels.select("doc_id", F.lit(200).alias("status"), F.to_json(F.struct(choices.alias("choices"))).alias("body"))
+    index, metrics = _index(spark, dim=2)
+    _run(spark, sf_dir, index, metrics, sentiment_responses=labels, embedding_responses=vectors)
+    return index.read().select(
+        "doc_id", "sentiment", F.col("embedding")[0].alias("first"), F.col("embedding")[1].alias("second")
+    )
+
+
 # -- stream ----------------------------------------------------------------------------------
 
 

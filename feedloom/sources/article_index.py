@@ -36,6 +36,10 @@ COMMITS = (
 )
 
 
+# Lookups of a few ids skip all row groups that do not hold them; the filters fit their size to the data.
+BLOOM = {"parquet.bloom.filter.enabled#doc_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 @dataclass(frozen=True)
 class Commit:
     version: int
@@ -107,6 +111,7 @@ class ArticleIndex:
             .write.option("path", location)
             .bucketBy(buckets, "doc_id")
             .sortBy("doc_id")
+            .options(**BLOOM)
             .format("parquet")
             .saveAsTable(name)
         )

@@ -1,16 +1,18 @@
 """Column functions on edge values."""
 
 import math
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from feedloom.functions.automaton import keyword_balance
 from feedloom.functions.hashing import bucket, direction, document_id, java_string_hash
 from feedloom.functions.instants import iso_instant, parse_instant, parse_instant_or
 from feedloom.functions.jsonpath import as_array, as_text, parse_body, path_get, path_string
-from feedloom.functions.lexicon import keyword_sentiment, label
+from feedloom.functions.lexicon import keyword_hits, keyword_label, keyword_sentiment, label
 from feedloom.functions.text import (
     article_text,
     error_text,
@@ -289,7 +291,6 @@ def test_keyword_sentiment(spark):
 
 def test_keyword_hits_count_every_keyword_once(spark):
     from feedloom.fixed_values import NEGATIVE_KEYWORDS, POSITIVE_KEYWORDS
-    from feedloom.functions.lexicon import keyword_hits
 
     words = [*POSITIVE_KEYWORDS, *NEGATIVE_KEYWORDS]
     texts = [*words, "gains gain gains", "xsuccessfulx", "award", "", *(" ".join(words[i:]) for i in range(45))]
@@ -298,6 +299,29 @@ def test_keyword_hits_count_every_keyword_once(spark):
         assert got == [sum(k in t for k in keywords) for t in texts]
 
 
+def test_automaton_equals_the_expression(spark):
+    draw = random.Random(4)
+
+    def words(n):
+        return ["".join(draw.choice("abc") for _ in range(draw.randint(0, 4))) for _ in range(n)]
+
+    texts = [None, "", "abc", *("".join(draw.choice("abc ") for _ in range(draw.randint(0, 30))) for _ in range(60))]
+    for n in (0, 1, 5, 40):
+        up, down = words(n), words(n)  # with overlaps, prefixes, repeats and words on both lists
+        hits = over(spark, texts, lambda c, up=up, down=down: keyword_hits(c, up) - keyword_hits(c, down))
+        assert over(spark, texts, lambda c, up=up, down=down: keyword_balance(c, up, down)) == hits
+
+
+def test_large_lexicons_are_one_pass(spark):
+    up = [f"w{k}x" for k in range(2500)]
+    down = [f"v{k}x" for k in range(2500)]
+    texts = ["w1x w22x v3x", "v3x v3x", "w1", "xw2499xv0xv1x"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select(keyword_label("t", up, down).alias("label"))
+    assert [r.label for r in frame.collect()] == ["positive", "negative", "neutral", "negative"]
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 3000 and plan.count("balance(") == 1
+
+
 def test_label(spark):
     assert over(spark, ["POSITIVE", "negative", "Neutral", " positive", "mixed", None], label) == [
         "positive",

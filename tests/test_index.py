@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from feedloom import schemas
+from feedloom.functions.vectors import hashed_vector
+from feedloom.operators.search import search
 from feedloom.operators.upsert import ORDER, without_heavy_copies
 from feedloom.session import scratch_dir
 from feedloom.sources.article_index import ArticleIndex
@@ -154,6 +156,38 @@ def test_a_batch_is_read_once_and_moved_once(spark, path):
     assert sum("SortMergeJoin" in line for line in lines) == 2  # the base's places, the delta
 
 
+def _scanned(frame):
+    """Rows that the scans of a plan gave out, after it ran without adaptive changes."""
+    plan = frame._jdf.queryExecution().executedPlan()
+    leaves, total = plan.collectLeaves(), 0
+    for k in range(leaves.size()):
+        leaf = leaves.apply(k)
+        if "parquet" in leaf.toString().lower() and leaf.metrics().contains("numOutputRows"):
+            total += leaf.metrics().apply("numOutputRows").value()
+    return total
+
+
+def test_a_search_reads_row_groups_of_its_hits_only(spark, path):
+    index = ArticleIndex(spark, path, rewrite_share=10)
+    index.create(16, buckets=16)
+    rows = spark.range(8000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("doc_id"), F.concat(F.lit("word"), "id").alias("title"),
+        F.lit("c").alias("content"), F.lit("s").alias("source"), F.lit("u").alias("url"), F.lit(None).cast("timestamp").alias("timestamp"),
+        F.lit("neutral").alias("sentiment"), hashed_vector(F.concat(F.lit("word"), "id"), 16).alias("embedding"),
+    )
+    index.upsert(rows)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = search(index.read(), "word77", 3, dim=16)
+        assert len(found.collect()) == 3
+        assert 3 <= _scanned(found) <= 3 * 8000 / 16 * 1.3
+        ids = [r.doc_id for r in index.read().limit(2).collect()]
+        absent = index.read().where(F.col("doc_id").isin([i[:-1] + "x" for i in ids]))
+        assert absent.collect() == [] and _scanned(absent) == 0  # by the Bloom filters
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_many_copies_of_one_id_are_cut_down_first(spark):
     rows = written(spark, [("hot", f"t{n}", DAYS[n % 8], "r", n) for n in range(50)] + [("x", "t", DAYS[0], "r", 0)] * 3)
     numbered = rows.withColumn("row", F.monotonically_increasing_id())

@@ -357,6 +357,51 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert len(parts) > 2 and max(r["count"] for r in parts) < 12000
 
 
+def test_sketch_finds_all_heavy_keys_among_a_million(spark):
+    rows = spark.range(0, 1_200_000, numPartitions=6).select(
+        F.when(F.col("id") % 12 == 0, F.lit(-1)).when(F.col("id") % 60 == 1, F.lit(-2)).when(F.col("id") == 5, F.lit(-3))
+        .when(F.col("id") % 40 == 2, None).otherwise(F.col("id")).alias("k"), "id"
+    )
+    found = heavy_keys(rows, "k", 15_000, tracked=512)
+    assert sorted(r.k for r in found.collect()) == [-2, -1]
+    # By bytes: one row may be as heavy as a hundred thousand others.
+    size = F.when(F.col("id") == 5, 50_000).otherwise(1)
+    assert sorted(r.k for r in heavy_keys(rows, "k", 30_000, weight=size, tracked=512).collect()) == [-3, -1]
+    assert heavy_keys(rows.limit(0), "k", 1).count() == 0
+    names = rows.limit(1000).select(F.concat(F.lit("n"), (F.col("id") % 2).cast("string")).alias("k"))
+    assert sorted(r.k for r in heavy_keys(names, "k", 400).collect()) == ["n0", "n1"]
+
+
+def test_contents_move_once_when_both_replies_are_joined(spark):
+    def reply(*numbers):
+        return json.dumps({"data": [{"embedding": list(numbers)}]})
+
+    def label(word):
+        return json.dumps({"choices": [{"message": {"content": json.dumps({"sentiment": word})}}]})
+
+    articles = spark.createDataFrame(
+        [("r", "s", 0, 0, k, f"t{k}", "gains" if k % 2 else "war", "src", f"u{k}") for k in range(6)],
+        "run_id string, source_name string, source_ord int, response_no int, pos int, title string, content string, source string, url string",
+    ).withColumn("published_at", F.lit(None).cast("timestamp"))
+    ids = {r.url: r.doc_id for r in enrich(articles, 2).collect()}
+    schema = "doc_id string, status int, body string"
+    labels = spark.createDataFrame([(ids["u0"], 200, label("positive")), (ids["u1"], 500, label("neutral")), ("zz", 200, label("neutral"))], schema)
+    vectors = spark.createDataFrame([(ids["u1"], 200, reply(1, 2)), (ids["u2"], 200, reply(1))], schema)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = enrich(articles, 2, sentiment_responses=labels, embedding_responses=vectors)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    rows = {r.url: r for r in got.collect()}
+    assert [rows[f"u{k}"].sentiment for k in range(6)] == ["positive", "positive", "negative", "positive", "negative", "positive"]
+    assert rows["u1"].embedding == [1.0, 2.0] and rows["u1"].embedding_error is None
+    assert all(rows[f"u{k}"].embedding is None and rows[f"u{k}"].embedding_error for k in (0, 2, 3, 4, 5))
+    assert sum("SortMergeJoin" in line and "LeftOuter" in line for line in plan.splitlines()) == 1
+    assert len(rows) == 6
+
+
 def test_small_side_is_broadcast_only_when_it_is_small(spark):
     left, right = spark.range(100).withColumnRenamed("id", "k"), spark.range(50).withColumnRenamed("id", "k")
     assert fits(right, 50) and not fits(right, 49)
