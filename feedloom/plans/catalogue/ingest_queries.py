@@ -13,7 +13,9 @@ from feedloom.fixed_values import (
     NOT_AN_ARRAY_MESSAGE,
 )
 from feedloom.functions.instants import iso_instant, parse_instant_or
+from feedloom.functions.jsonpath import as_text, parse_body, path_get, path_get_known
 from feedloom.functions.text import has_text
+from feedloom.operators.columns import computed_once
 from feedloom.operators.config import (
     check_config,
     enabled_sources,
@@ -440,3 +442,46 @@ def fetch_outcomes_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("attempt", F.row_number().over(order))
     )
     return fetch_outcomes(log).withColumn("attempts", F.col("attempts").cast("long"))
+
+
+# -- JSON paths with odd segments: blanks, signs, keys like indexes, steps into texts ------------
+
+_ODD_PATHS = {
+    "$.a.b c": "event_id::VARCHAR",
+    "a..0": "user_id::VARCHAR",
+    "$.list.0": "event_type",
+    "$.list.+1.t": "event_id::VARCHAR",
+    "$.list.01": "'{\"t\":' || event_id || '}'",
+    "$.list.-1": "NULL",
+    " $.a.\u00e9 \t": "event_type",
+    "$.s.0": "NULL",
+    "$.a.missing.x": "NULL",
+    "list.2147483648": "NULL",
+    " \t": "NULL",
+    "$.a.0.0": "NULL",
+}
+
+
+def _odd_case() -> str:
+    cases = " ".join(f"WHEN {k} THEN {value}" for k, value in enumerate(_ODD_PATHS.values()))
+    return f"CASE event_id % {len(_ODD_PATHS)} {cases} END"
+
+
+@query(f"SELECT event_id, {_odd_case()} AS by_row, {_odd_case()} AS compiled FROM events")
+def json_path_odd_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event's body read by its row's path, and by the compiled lookups of all paths."""
+    events = I.read(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    inner = F.struct(
+        F.col("event_id").alias("b c"), F.col("user_id").cast("string").alias("0"), F.col("event_type").alias("\u00e9")
+    )
+    items = F.array(F.to_json(F.struct("event_type")), F.to_json(F.struct(F.col("event_id").alias("t"))))
+    # An array of unlike items: the first one is the bare text.
+    listed = F.concat(F.lit("["), F.regexp_extract(items[0], r":(.*)\}$", 1), F.lit(","), items[1], F.lit("]"))
+    body = F.concat(F.lit('{"s":"text","a":'), F.to_json(inner), F.lit(',"list":'), listed, F.lit("}"))
+    path = F.get(F.array(*map(F.lit, _ODD_PATHS)), (F.col("event_id") % len(_ODD_PATHS)).cast("int"))
+    root = computed_once(events.select("event_id", body.alias("body"), path.alias("path")), root=parse_body("body"))
+    return root.select(
+        "event_id",
+        as_text(path_get("root", F.col("path"))).alias("by_row"),
+        as_text(path_get_known("root", "path", _ODD_PATHS)).alias("compiled"),
+    )

@@ -16,7 +16,7 @@ from feedloom.operators.normalize import flatten_responses, normalize_generic, t
 from feedloom.operators.upsert import RUN_ORDER, indexing_summary, latest_per_key, ordered_writes, to_document
 from feedloom.session import materialize
 from feedloom.sources.article_index import ArticleIndex, Commit
-from feedloom.sources.run_log import append_metrics, batch_recorded
+from feedloom.sources.run_log import append_metrics
 
 Parser = Callable[[DataFrame, DataFrame, Column], DataFrame]
 Sink = Callable[[DataFrame], None]
@@ -116,7 +116,6 @@ def ingest(
     Responses without a run belong to the run named like the batch, or like ``run_at``. The
     summary has a row per run.
     """
-    spark = raw.sparkSession
     run_at = run_at or datetime.now(UTC)
     own_run = F.coalesce("run_id", F.lit(batch_id or run_at.isoformat()))
     raw = raw.withColumn("run_id", own_run)
@@ -148,7 +147,6 @@ def ingest(
         committed = None
     else:
         committed = index.upsert(ordered_writes(writes), batch_id, stored=True)
-    if batch_id is None or not batch_recorded(spark, metrics_path, batch_id):
-        append_metrics(metrics, metrics_path, batch_id)
+    append_metrics(metrics, metrics_path, batch_id)
     replies = source_summary(metrics, "run_id")
     return RunResult(metrics, replies, run_summary(replies, "run_id"), committed)

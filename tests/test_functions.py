@@ -280,8 +280,8 @@ def test_keyword_sentiment(spark):
     cases = {
         "Bakery posts record gains this spring": "positive",
         "Losses deepen as risks mount": "negative",
-        "Markets remain steady": "neutral",
-        "Company announces board meeting": "neutral",
+        "The harbour opens at nine": "neutral",
+        "A committee meets on Tuesday": "neutral",
         "Award for a surprise": "neutral",
         "GAINS": "positive",
     }

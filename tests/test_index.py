@@ -219,6 +219,13 @@ def test_metrics_log_survives_missing_and_unreadable_files(spark, path, tmp_path
     (broken / "part-0.parquet").write_text("not parquet")
     assert append_metrics(rows, str(broken), "b2")
     assert read_metrics(spark, str(broken)).count() == 1
+    # A replay replaces the batch's own rows, even where they cannot be read any more.
+    for folder in broken.glob("batch-*"):
+        for file in folder.glob("*.parquet"):
+            file.write_text("damaged")
+    assert read_metrics(spark, str(broken)).count() == 0
+    assert append_metrics(rows, str(broken), "b2") and append_metrics(rows, str(broken), "b2")
+    assert read_metrics(spark, str(broken)).count() == 1
     history = metrics_history(read_metrics(spark, log)).first()
     assert history.runs == 1 and history.last_run_at is not None
 

@@ -220,7 +220,7 @@ def reply(content):
 
 
 def test_sentiment_replies_and_fallbacks(spark):
-    good = {w: ("Markets remain steady", 200, reply(json.dumps({"sentiment": w})), w) for w in ("positive", "negative", "neutral")}
+    good = {w: ("The harbour opens at nine", 200, reply(json.dumps({"sentiment": w})), w) for w in ("positive", "negative", "neutral")}
     up, down = "Bakery posts record gains this spring", "Losses deepen as risks mount"
     cases = {
         **good,
