@@ -32,6 +32,8 @@ WINDOW = 13
 DEPTH = 16
 SHARD_CHARS = 6_000_000
 BLOCK_CHARS = 16_000_000
+# Places of one document and one item that meet in one table; more are followed one by one.
+PLACES = 1_000_000
 MATCH = "array<struct<item:string, item_at:int, doc_at:int, n_words:int>>"
 
 
@@ -115,17 +117,47 @@ def find(words: np.ndarray, tests: Suffixes) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(present, n), order[place]
 
 
-def longest_matches(tests: Suffixes, window: np.ndarray, position: np.ndarray) -> pd.DataFrame:
-    """Join occurrences of one item's windows that follow each other into verbatim matches."""
-    times = np.diff(tests.first)[window]
-    place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    place += np.repeat(tests.first[window], times)
+def longest_matches(tests: Suffixes, window: np.ndarray, position: np.ndarray, owner: np.ndarray) -> pd.DataFrame:
+    """Join occurrences of one item's windows that follow each other into verbatim matches.
+
+    Of a document and an item, every place of a window in the one meets every place in the other.
+    Where texts repeat themselves these are very many: such a pair is followed along the
+    document with one number for each place in the item, so memory stays that of the item.
+    """
+    # Per occurrence, the items that have the window and how often.
+    group = np.union1d(tests.first[:-1], np.flatnonzero(np.diff(tests.item)) + 1)
+    n_at = np.diff(np.append(group, len(tests.item)))
+    of_window = np.searchsorted(group, tests.first)
+    n_items = np.diff(of_window)[window]
+    place = np.arange(n_items.sum()) - np.repeat(np.cumsum(n_items) - n_items, n_items) + np.repeat(of_window[window], n_items)
+    met = pd.DataFrame(
+        {
+            "item": tests.item[group[place]],
+            "owner": np.repeat(owner, n_items),
+            "window": np.repeat(window, n_items),
+            "position": np.repeat(position, n_items),
+            "start": group[place],
+            "times": n_at[place],
+        }
+    )
+    pairs = met.groupby(["owner", "item"], sort=False)["times"].transform("sum").to_numpy()
+    few, found = met[pairs <= PLACES], []
+    if len(few):
+        found.append(_joined(tests, few))
+    for (_, item), rows in met[pairs > PLACES].groupby(["owner", "item"]):
+        found.append(_followed(tests, int(item), rows.sort_values("position")))
+    return pd.concat(found) if found else pd.DataFrame(columns=["item", "at", "position", "n_words"], dtype=np.int64)
+
+
+def _joined(tests: Suffixes, met: pd.DataFrame) -> pd.DataFrame:
+    times = met["times"].to_numpy()
+    place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(met["start"].to_numpy(), times)
     found = pd.DataFrame(
         {
             "item": tests.item[place],
             "at": tests.at[place],
-            "position": np.repeat(position, times),
-            "length": np.repeat(tests.length[window], times),
+            "position": np.repeat(met["position"].to_numpy(), times),
+            "length": np.repeat(tests.length[met["window"].to_numpy()], times),
         }
     )
     found["shift"] = found["position"] - found["at"]
@@ -134,7 +166,37 @@ def longest_matches(tests: Suffixes, window: np.ndarray, position: np.ndarray) -
     runs = found.groupby(run.to_numpy())
     out = runs.first()
     out["n_words"] = runs["position"].last() - out["position"] + out["length"]
-    return out
+    return out[["item", "at", "position", "n_words"]]
+
+
+def _followed(tests: Suffixes, item: int, met: pd.DataFrame) -> pd.DataFrame:
+    """The matches of one document and one item, position by position."""
+    size = int(tests.at[tests.item == item].max()) + 1
+    begun = np.full(size, -1, dtype=np.int64)  # where the match that now ends at a place in the item began
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    last, last_length = -2, 0
+
+    def ended(at: np.ndarray, position: int, length: int) -> None:
+        if len(at):
+            n = position - begun[at] + 1
+            out.append((at - n + 1, begun[at], n + length - 1))
+
+    for position, window, start, times in met[["position", "window", "start", "times"]].itertuples(index=False):
+        at = tests.at[start : start + times]
+        goes_on = position == last + 1
+        moved = np.full(size, -1, dtype=np.int64)
+        if goes_on:
+            before = np.append(-1, begun[:-1])[at]
+            moved[at] = np.where(before >= 0, before, position)
+        else:
+            moved[at] = position
+        open_ = np.flatnonzero(begun >= 0)
+        carried = goes_on & (np.append(moved[1:], -1)[open_] == begun[open_])
+        ended(open_[~carried], last, last_length)
+        begun, last, last_length = moved, position, int(tests.length[window])
+    ended(np.flatnonzero(begun >= 0), last, last_length)
+    at, position, n = (np.concatenate(x) for x in zip(*out, strict=True))
+    return pd.DataFrame({"item": item, "at": at, "position": position, "n_words": n})
 
 
 def match_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -165,7 +227,7 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 window, position = find(words, tests)
                 np.add.at(covered, position, 1)
                 np.add.at(covered, position + tests.length[window], -1)
-                joined = longest_matches(tests, window, position)
+                joined = longest_matches(tests, window, position, np.searchsorted(starts, position, side="right") - 1)
                 owner = np.searchsorted(starts, joined["position"].to_numpy(), side="right") - 1
                 rows = zip(owner, joined["item"], joined["at"], joined["position"] - starts[owner], joined["n_words"], strict=True)
                 for doc, item, at, place, n in rows:

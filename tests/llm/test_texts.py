@@ -7,6 +7,7 @@ import os
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -156,6 +157,39 @@ def test_longest_matches_have_their_places(spark, monkeypatch):
     assert match_benchmark(docs.limit(0), benchmark).count() == 0
 
 
+def _matches(items, docs):
+    tests = dec.test_suffixes(items)
+    hashes, counts = dec.word_hashes(docs, dec.PLAIN)
+    ends = np.cumsum(counts)
+    words = np.insert(hashes, ends, 0)
+    starts = ends - counts + np.arange(len(counts))
+    window, position = dec.find(words, tests)
+    found = dec.longest_matches(tests, window, position, np.searchsorted(starts, position, side="right") - 1)
+    return sorted(map(tuple, found[["item", "at", "position", "n_words"]].astype(int).to_numpy().tolist()))
+
+
+def test_repeated_texts_match_alike_in_both_ways(monkeypatch):
+    draw = random.Random(6)
+
+    def text(n):
+        return " ".join(draw.choice("ab") * draw.choice([1, 1, 1, 1, 2]) for _ in range(n))
+
+    phrase = "a b " * 9
+    items = [(k, text(20) + " " + phrase + text(5)) for k in range(6)] + [(7, "a " * 40), (8, "b a"), (9, phrase)]
+    docs = [phrase + text(30) + " " + phrase, "a " * 60, None, "b a b a", text(300), "a " * 14 + "c " + "a " * 13]
+    joined = _matches(items, docs)
+    monkeypatch.setattr(dec, "PLACES", 0)
+    assert len(joined) > 100 and _matches(items, docs) == joined
+
+
+def test_very_long_repeated_texts_stay_small():
+    tracemalloc.start()
+    found = _matches([(1, "a " * 2000)], ["a " * 20_000])
+    assert max(n for *_, n in found) == 2000 and len(found) == 1988 + 19_988 - 1
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+
+
 def test_suffix_array_is_sorted():
     draw = np.random.default_rng(1)
     rank = draw.integers(0, 3, 500)
