@@ -1,184 +1,259 @@
 """LM scoring by cross-entropy difference.
 
-Two bigram models share one vocabulary (all words of the target, all others one unknown word),
-one inventory of bigrams (all of the target) and one smoothing, so only their counts differ: one
-is counted on target documents, the other on all documents, scaled to the target's size. A
-bigram's probability is ``WEIGHT`` times its relative frequency after the first word plus the
-rest times the unigram's, which counts one more of every word. A document's loss is the mean of
--log2 p over its words; its score is the background's loss minus the target's, so higher means
-closer to the target.
-
-Counts stay in Spark tables of any size; only totals reach the driver. A document is the sum of
-its distinct words and bigrams, which meet the models' terms in a join by a 64-bit hash; a word
-or bigram without a term is unknown and adds nothing to what every word has. Two of 10**9 keys
-share a hash with a probability of about 0.03.
+Two bigram models share one vocabulary (all words of the target, all others one unknown word)
+and one smoothing, so only their counts differ: one is counted on target documents, the other on
+all documents, scaled to the target's size. Both count every pair of known words; a pair with an
+unknown word has no count of its own in either. A bigram's probability is ``WEIGHT`` times its
+relative frequency after the first word plus the rest times the unigram's, which counts one more
+of every word. A document's loss is the mean of -log2 p over its words; its score is the
+background's loss minus the target's, so higher means closer to the target.
+
+Texts are coded once, in chunks of about ``CHUNK_CHARS``. A chunk asks for the counts of its
+distinct words and pairs, packed by ranges of their 64-bit hashes; a task adds what all chunks
+say of one range and answers each in the same order, so answers carry no keys. Hot words cost one
+number a chunk. The number of ranges grows with the words of the corpus, so that a range fits a
+task. Only totals reach the driver. Two of 10**9 keys share a hash with a probability of about 0.03.
 
 Defined cases: a null or empty text has no words and losses of 0; without target documents
 every word is unknown and the models agree, so scores are 0; a null id is never a target;
-repeated rows count and are scored row by row; further columns are ignored.
+repeated rows count and are scored row by row; an empty table gives an empty result; further
+columns are ignored, or carried along inside one struct.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.inputs import table
+from feedloom.llm.word_hashes import mixed
+from feedloom.operators.joins import join_small
 from feedloom.session import materialize
 
 VOCABULARY = None  # no limit: every word of the target is known
 WEIGHT = 0.5
-BATCH_CHARS = 4_000_000
-COUNTS = "w1 long, w2 long, near long, far long"
+CHUNK_CHARS = 4_000_000
+RANGE_ENTRIES = 2_000_000
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_ZSTD = pa.Codec("zstd", compression_level=1)
+CHUNK = "chunk long, tokens array<int>, target array<boolean>, codes binary, words binary"
+ASKED = "part int, chunk long, keys binary, near binary, far binary"
+ANSWERED = "part int, chunk long, near binary, far binary, sums array<bigint>"
 LOSSES = "n_tokens long, target_loss double, background_loss double, score double"
 
 
+def packed(values: np.ndarray) -> bytes:
+    raw = np.ascontiguousarray(values).tobytes()
+    return len(raw).to_bytes(8, "little") + (_ZSTD.compress(raw, asbytes=True) if raw else b"")
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    return np.frombuffer(_ZSTD.decompress(data[8:], size, asbytes=True) if size else b"", dtype=kind)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of rows of about ``BATCH_CHARS`` characters. A row is never cut."""
+    """Runs of rows of about ``CHUNK_CHARS`` characters. A row is never cut."""
     for batch in batches:
         sizes = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // BATCH_CHARS)) + 1
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // CHUNK_CHARS)) + 1
         for start, end in zip([0, *cuts], [*cuts, len(sizes)], strict=True):
             if end > start:
                 yield batch.slice(start, end - start)
 
 
-def coded(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of all words, the hash of each code, and the number of words per text."""
-    split = [(text or "").lower().split() for text in batch.column("text").to_pylist()]
-    counts = np.array([len(ws) for ws in split], dtype=np.int64)
+    split = [(text or "").lower().split() for text in texts.to_pylist()]
+    counts = np.array([len(ws) for ws in split], dtype=np.int32)
     codes, distinct = pd.factorize(np.array([w for ws in split for w in ws], dtype=object))
     hashes = pd.util.hash_array(distinct, categorize=False) if len(distinct) else np.zeros(0, np.uint64)
-    return codes.astype(np.int64), hashes.view(np.int64), counts
-
-
-def distinct_grams(
-    group: np.ndarray, codes: np.ndarray, hashes: np.ndarray, counts: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each group of texts, its distinct words and pairs: group, w1, w2, whether it is a pair, n."""
-    owner, size = np.repeat(group, counts), max(len(hashes), 1)
+    return codes.astype(np.int32), hashes, counts
+
+
+def chunks(docs: DataFrame, chosen: DataFrame, keep: list[str]) -> DataFrame:
+    """A row for each run of texts: their ``own`` columns, words, and which of them are targets."""
+    flagged = join_small(
+        docs.select(F.col("doc_id").alias("id"), F.struct(*keep).alias("own"), "text"), chosen, "id", "left"
+    ).select("own", F.coalesce("target", F.lit(False)).alias("target"), "text")
+    own = flagged.schema["own"].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 33
+        for part in text_slices(batches):
+            codes, hashes, counts = coded(part.column("text"))
+            ends = pa.array([0, part.num_rows], pa.int32())
+            columns = [
+                pa.ListArray.from_arrays(ends, part.column("own")),
+                pa.array([chunk], pa.int64()),
+                pa.ListArray.from_arrays(ends, pa.array(counts)),
+                pa.ListArray.from_arrays(ends, part.column("target")),
+                pa.array([packed(codes)], pa.binary()),
+                pa.array([packed(hashes)], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["own", *(c.split()[0] for c in CHUNK.split(", "))])
+            chunk += 1
+
+    return flagged.mapInArrow(cut, f"own array<{own}>, {CHUNK}")
+
+
+class Grams(NamedTuple):
+    """Distinct words or pairs of a chunk in the order of their keys."""
+
+    keys: np.ndarray
+    near: np.ndarray  # how often targets have them
+    far: np.ndarray  # how often all texts have them
+    at: np.ndarray  # which one stands at each place of the texts
+
+
+def _grams(keys: np.ndarray, codes: np.ndarray, target: np.ndarray) -> Grams:
+    order = np.argsort(keys)
+    place = np.empty(len(keys), dtype=np.int64)
+    place[order] = np.arange(len(keys))
+    at = place[codes]
+    near = np.bincount(at[target], minlength=len(keys))
+    return Grams(keys[order], near, np.bincount(at, minlength=len(keys)), at)
+
+
+def chunk_grams(row: dict) -> tuple[Grams, Grams, np.ndarray, np.ndarray]:
+    """Words and pairs of a chunk; the place of each pair's second word, and the words per text."""
+    codes, hashes = unpacked(row["codes"], "<i4").astype(np.int64), unpacked(row["words"], "<u8")
+    tokens = np.array(row["tokens"], dtype=np.int64)
+    target = np.repeat(np.array(row["target"], dtype=bool), tokens)
+    words = _grams(mixed(hashes), codes, target)
     follows = np.ones(len(codes), dtype=bool)
-    follows[(np.cumsum(counts) - counts)[counts > 0]] = False
-    at = np.flatnonzero(follows)
-    words, n_words = np.unique(owner * size + codes, return_counts=True)
-    pairs, n_pairs = np.unique((owner[at] * size + codes[at - 1]) * size + codes[at], return_counts=True)
-    return (
-        np.concatenate([words // size, pairs // size // size]),
-        hashes[np.concatenate([words % size, pairs // size % size])],
-        hashes[np.concatenate([words % size, pairs % size])],
-        np.repeat([False, True], [len(words), len(pairs)]),
-        np.concatenate([n_words, n_pairs]),
+    follows[(np.cumsum(tokens) - tokens)[tokens > 0]] = False
+    second = np.flatnonzero(follows)
+    distinct, pair = np.unique(codes[second - 1] * max(1, len(hashes)) + codes[second], return_inverse=True)
+    first_hash, second_hash = hashes[distinct // max(1, len(hashes))], hashes[distinct % max(1, len(hashes))]
+    pairs = _grams(mixed(first_hash * _FACTOR + mixed(second_hash)), pair, target[second])
+    return words, pairs, second, tokens
+
+
+def ranges(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Borders of the hash ranges in sorted keys."""
+    starts = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    return np.concatenate([[0], np.searchsorted(keys, starts), [len(keys)]])
+
+
+def ask(stored: DataFrame, bits: int) -> DataFrame:
+    """What every chunk says of each range; ``part`` is even for words and odd for pairs."""
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, pairs, _, _ = chunk_grams(row)
+                rows = []
+                for kind, grams in enumerate((words, pairs)):
+                    edges = ranges(grams.keys, bits)
+                    for k in np.flatnonzero(np.diff(edges)):
+                        own = slice(edges[k], edges[k + 1])
+                        steps = np.diff(grams.keys[own], prepend=np.uint64(0))
+                        counts = (packed(x[own].astype("<u4")) for x in (grams.near, grams.far))
+                        rows.append((2 * int(k) + kind, row["chunk"], packed(steps), *counts))
+                columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), *[pa.binary()] * 3), strict=True)] if rows else None
+                if columns:
+                    yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in ASKED.split(", ")])
+
+    return stored.select("chunk", "tokens", "target", "codes", "words").mapInArrow(asked, ASKED)
+
+
+def answer(rows: pa.Table) -> pa.Table:
+    """Add up one range. Every chunk gets the sums in its own order; a last row has totals: near, far,
+    known words, how often all texts have those."""
+    keys = [np.cumsum(unpacked(x, "<u8"), dtype=np.uint64) for x in rows.column("keys").to_pylist()]
+    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+    near, far = (
+        np.bincount(at, weights=np.concatenate([unpacked(x, "<u4") for x in rows.column(c).to_pylist()])).astype(np.int64)
+        for c in ("near", "far")
+    )
+    ends = np.cumsum([len(k) for k in keys])
+    own = [at[end - len(k) : end] for k, end in zip(keys, ends, strict=True)]
+    part = rows.column("part")[0].as_py()
+    sums = [int(near.sum()), int(far.sum()), int((near > 0).sum()), int(far[near > 0].sum())]
+    return pa.table(
+        {
+            "part": pa.array([part] * (len(own) + 1), pa.int32()),
+            "chunk": pa.array([*rows.column("chunk").to_pylist(), None], pa.int64()),
+            "near": pa.array([*(packed(near[x]) for x in own), None], pa.binary()),
+            "far": pa.array([*(packed(far[x]) for x in own), None], pa.binary()),
+            "sums": pa.array([[]] * len(own) + [sums], pa.list_(pa.int64())),
+        }
     )
 
 
-def gram_counts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """How often the target and all documents have each word (``w2`` is null) and pair."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
-            codes, hashes, counts = coded(batch)
-            target = batch.column("target_id").is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
-            group, w1, w2, pair, n = distinct_grams(target, codes, hashes, counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(w1), pa.array(w2, mask=~pair), pa.array(n * group), pa.array(n)], ["w1", "w2", "near", "far"]
-            )
-
-    named = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("target_id"), "left")
-    found = named.select("text", "target_id").mapInArrow(count, COUNTS)
-    return found.groupBy("w1", "w2").agg(F.sum("near").alias("near"), F.sum("far").alias("far"))
-
-
-def document_grams(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Per document a row with its ``keep`` columns and n_tokens, and a row of ``n`` per distinct word and pair."""
-    own = docs.select(*keep).schema
-
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 33
-        names = ["row", *(f"own_{k}" for k in range(len(own))), "n_tokens", "w1", "w2", "n"]
-        for batch in text_slices(batches):
-            codes, hashes, counts = coded(batch)
-            rows = first + np.arange(len(counts))
-            first += len(counts)
-            group, w1, w2, pair, n = distinct_grams(np.arange(len(counts)), codes, hashes, counts)
-            mine = [batch.column(k) for k in range(len(own))]
-            # A document's own row counts nothing, so its key may be any; its number keeps these rows apart.
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), *mine, pa.array(counts), pa.array(rows), pa.array(rows), pa.array(counts * 0)], names
-            )
-            none = [pa.nulls(len(n), kind) for kind in [*(c.type for c in mine), pa.int64()]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[group]), *none, pa.array(w1), pa.array(w2, mask=~pair), pa.array(n)], names
-            )
-
-    kinds = ", ".join(f"own_{k} {field.dataType.simpleString()}" for k, field in enumerate(own))
-    schema = f"row long, {kinds}, n_tokens long, w1 long, w2 long, n long"
-    found = docs.select(*keep, "text").toDF(*(f"own_{k}" for k in range(len(own))), "text").mapInArrow(grams, schema)
-    return found.withColumn("key", F.xxhash64("w1", "w2")).drop("w1", "w2")
+def answers(stored: DataFrame, bits: int) -> DataFrame:
+    """Sums for every chunk and range, each range added up in one task."""
+    return ask(stored, bits).groupBy("part").applyInArrow(answer, ANSWERED)
+
+
+def losses(
+    row: dict, near: tuple[np.ndarray, np.ndarray], far: tuple[np.ndarray, np.ndarray], sums: list[int]
+) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Words per text, and the mean loss of each text by both models.
+
+    ``near`` and ``far``: the counts of the chunk's words and pairs in the target and everywhere.
+    """
+    words, pairs, second, tokens = chunk_grams(row)
+    n_near, n_far, n_known, far_known = sums
+    known = near[0] > 0
+    total = n_near or n_far
+    size, out = n_known + 1, []
+    for (word_counts, pair_counts), everything, unknown in ((near, n_near, 0), (far, n_far, n_far - far_known)):
+        if not n_near:  # no target: the unknown word is all there is, for both models
+            everything, unknown = n_far, n_far
+        scale = total / max(everything, 1)
+        counts = np.where(known, word_counts, unknown)
+        single = (counts * scale + 1) / (everything * scale + size)
+        bits = -np.log2(single[words.at])
+        both = known[words.at[second - 1]] & known[words.at[second]]
+        share = np.where(both, pair_counts[pairs.at] / np.maximum(counts[words.at[second - 1]], 1), 0.0)
+        bits[second] = -np.log2(WEIGHT * share + (1 - WEIGHT) * single[words.at[second]])
+        ends = np.append(0, np.cumsum(bits))[np.append(0, np.cumsum(tokens))]
+        out.append(np.diff(ends) / np.maximum(tokens, 1))
+    return tokens, out
 
 
 def score_documents(docs: DataFrame, target_ids: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns of every document with n_tokens, target_loss, background_loss, score."""
-    chosen = target_ids.select(F.col("doc_id").alias("target_id")).where("target_id IS NOT NULL").distinct()
-    counted = materialize(gram_counts(docs, chosen).where("near > 0 OR w2 IS NULL"), "lm-counts")
-    sums = counted.where("w2 IS NULL").selectExpr(
-        "coalesce(sum(near), 0) near", "coalesce(sum(far), 0) far",
-        "coalesce(sum(far) FILTER (WHERE near > 0), 0) far_known", "count_if(near > 0) words",
-    ).first()
-    near, far, unknown = sums.near or sums.far, sums.far, sums.far - sums.far_known
-    scale, size = near / max(far, 1), sums.words + 1
-
-    def single(count: Column, total: float) -> Column:
-        return (count + 1) / (total + size)
-
-    # What any word has: that of the unknown word after an unlisted pair.
-    none = [
-        math.log2((1 - WEIGHT) * (x + 1) / (total + size))
-        for x, total in ((0 if sums.near else unknown, near), (unknown * scale, far * scale))
-    ]
-    words = counted.where("w2 IS NULL AND near > 0").select(
-        F.col("w1").alias("word"), F.col("near").alias("word_near"), F.col("far").alias("word_far"),
-        single(F.col("near"), near).alias("single_near"), single(F.col("far") * scale, far * scale).alias("single_far"),
-    )
-    befores = words.select(F.col("word").alias("w1"), "word_near", "word_far")
-    seconds = words.select(F.col("word").alias("w2"), "single_near", "single_far")
-    pairs = counted.where("w2 IS NOT NULL").join(befores, "w1").join(seconds, "w2")
-
-    def more(pair: str) -> Column:
-        """What a listed pair has more than its second word after an unlisted pair."""
-        share = WEIGHT * F.col(pair) / F.col(f"word_{pair}")
-        return F.log2(share / ((1 - WEIGHT) * F.col(f"single_{pair}")) + 1)
-
-    terms = words.select(
-        F.xxhash64("word").alias("key"),
-        *((F.log2((1 - WEIGHT) * F.col(f"single_{m}")) - bits).alias(m) for m, bits in zip(("near", "far"), none, strict=True)),
-    ).unionByName(pairs.select(F.xxhash64("w1", "w2").alias("key"), more("near").alias("near"), more("far").alias("far")))
-    own = [f"own_{k}" for k in range(len(keep))]
-    summed = (
-        document_grams(docs, keep)
-        .join(terms, "key", "left")
-        .groupBy("row")
-        .agg(
-            *(F.first(c, ignorenulls=True).alias(c) for c in own),
-            F.max("n_tokens").alias("n_tokens"),
-            *(F.coalesce(F.sum(F.col("n") * F.col(m)), F.lit(0.0)).alias(m) for m in ("near", "far")),
-        )
-    )
-
-    def loss(model: str, bits: float) -> Column:
-        # The first word of a text follows none: it has its whole unigram probability.
-        total = F.col("n_tokens") * bits - math.log2(1 - WEIGHT) + F.col(model)
-        return F.when(F.col("n_tokens") > 0, 0.0 - total / F.col("n_tokens")).otherwise(0.0)
-
-    losses = summed.select(*own, "n_tokens", loss("near", none[0]).alias("near"), loss("far", none[1]).alias("far"))
-    return losses.withColumn("score", F.col("far") - F.col("near")).toDF(*keep, *(c.split()[0] for c in LOSSES.split(", ")))
+    chosen = target_ids.select(F.col("doc_id").alias("id")).where("id IS NOT NULL").distinct().withColumn("target", F.lit(True))
+    stored = materialize(chunks(docs, chosen, keep), "lm-chunks")
+    tokens = stored.select(F.sum(F.aggregate("tokens", F.lit(0).cast("long"), lambda acc, n: acc + n))).first()[0] or 0
+    bits = max(2, (2 * tokens // RANGE_ENTRIES).bit_length())
+    counted = materialize(answers(stored, bits), "lm-counts")
+    totals = counted.where("chunk IS NULL AND part % 2 = 0").select(*(F.sum(F.get("sums", F.lit(k))) for k in range(4)))
+    sums = [x or 0 for x in totals.first()]
+    replies = counted.where("chunk IS NOT NULL").groupBy("chunk").agg(F.collect_list(F.struct("part", "near", "far")).alias("parts"))
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column("own")
+            for k, row in enumerate(batch.drop_columns(["own"]).to_pylist()):
+                parts = sorted(row["parts"] or [], key=lambda p: p["part"])
+                near, far = (
+                    tuple(
+                        np.concatenate([np.zeros(0, np.int64), *(unpacked(p[c], "<i8") for p in parts if p["part"] % 2 == kind)])
+                        for kind in (0, 1)
+                    )
+                    for c in ("near", "far")
+                )
+                n, (target, background) = losses(row, near, far, sums)
+                columns = [pa.array(n), pa.array(target), pa.array(background), pa.array(background - target)]
+                names = ["own", *(c.split()[0] for c in LOSSES.split(", "))]
+                yield pa.RecordBatch.from_arrays([own[k].values, *columns], names=names)
+
+    kind = stored.schema["own"].dataType.elementType.simpleString()
+    joined = stored.join(replies, "chunk", "left").select("own", "chunk", "tokens", "target", "codes", "words", "parts")
+    found = joined.mapInArrow(scored, f"own {kind}, {LOSSES}")
+    return found.select(*(F.col("own")[c].alias(c) for c in keep), *(c.split()[0] for c in LOSSES.split(", ")))
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,12 +76,11 @@ def _brute_lm(docs, targets):
     known = set(vocabulary)
     texts = [(d, [w if w in known else None for w in ws]) for d, ws in split]
     models = []
-    inventory = {p for d, ws in texts if d in targets for p in zip(ws, ws[1:], strict=False)}
     total = sum(near.values())
     for own in (targets, None):
         chosen = [ws for d, ws in texts if own is None or d in own]
         words, pairs = Counter(w for ws in chosen for w in ws), Counter(p for ws in chosen for p in zip(ws, ws[1:], strict=False))
-        models.append((words, pairs, total / sum(words.values())))
+        models.append((words, pairs, total / max(1, sum(words.values()))))
 
     def loss(ws, model):
         words, pairs, scale = model
@@ -92,7 +91,7 @@ def _brute_lm(docs, targets):
                 bits -= math.log2(single)
                 continue
             pair = (ws[k - 1], w)
-            share = lm.WEIGHT * pairs[pair] / words[pair[0]] if pair in inventory else 0
+            share = lm.WEIGHT * pairs[pair] / words[pair[0]] if None not in pair else 0
             bits -= math.log2(share + (1 - lm.WEIGHT) * single)
         return bits / max(len(ws), 1)
 
