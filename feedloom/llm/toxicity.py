@@ -6,7 +6,7 @@ categories. In training, those probabilities come out of fold: a row's are predi
 that did not see it; in scoring they come from the models of all training rows.
 
 Models are fitted on at most ``TRAIN_ROWS`` labelled documents (smallest hash of the id), a
-documented bound. Spark counts their terms; the ``FEATURES`` terms that tell each category best
+documented bound; of repeated rows of an id one is used. Spark counts their terms; the ``FEATURES`` terms that tell each category best
 (chi-squared, ties by term) are kept, so what is fitted has a fixed size. Every document is
 scored, over its whole text.
 
@@ -58,7 +58,10 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .orderBy(F.xxhash64("labelled_id"), "labelled_id")
         .limit(TRAIN_ROWS)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
+    # One row an id, however often the table repeats it, so that the bound holds for rows as well.
+    text = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    rows = found.groupBy("doc_id", "toxic").agg(text)
     for name, listed in CATEGORY_WORDS.items():
         found = F.lower("text").rlike(rf"\b({'|'.join(listed)})\b")
         rows = rows.withColumn(name, (F.coalesce(found, F.lit(False)) & (F.col("toxic") > 0)).cast("int"))
