@@ -3,11 +3,12 @@
 A task cuts its documents into shards of whole documents, sorts all suffixes of a shard's words
 by prefix doubling (16 words deep, beyond the longest window), and binary-searches every test
 suffix, so each window's occurrences are one range of the array. Windows that follow each other
-in document and item join into the longest verbatim matches, with their places. Nothing is
-shuffled: a task needs its own rows and the benchmark.
+in document and item join into the longest verbatim matches, with their places. A task needs its
+own rows and the benchmark; with a benchmark of one block nothing is shuffled.
 
-The benchmark is the stated query set. It travels to the tasks in blocks of
-``BLOCK_CHARS`` characters, searched one after the other.
+The benchmark is the stated query set. It is cut into blocks of about ``BLOCK_CHARS`` characters.
+Each block travels to the tasks for one pass over the documents and is released after it, and the
+hits of all passes, few and narrow, meet per document.
 
 Words are compared by 64-bit hashes. Defined cases: a null or empty text has no words, so is
 never hit and has no window; an item shorter than ``WINDOW`` words is one window; equal rows
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.inputs import slices, table
 from feedloom.llm.word_hashes import PLAIN, word_hashes
+from feedloom.session import materialize
 
 WINDOW = 13
 DEPTH = 16
@@ -199,48 +201,116 @@ def _followed(tests: Suffixes, item: int, met: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"item": item, "at": at, "position": position, "n_words": n})
 
 
+class Found(NamedTuple):
+    """What one block of the benchmark hits in a shard of documents."""
+
+    n_words: np.ndarray
+    covered: np.ndarray  # whether a window stands over each word of the shard
+    starts: np.ndarray  # the first word of each document
+    matches: list[list[tuple]]
+
+
+def search_shard(texts: list[str | None], tests: Suffixes) -> Found:
+    hashes, counts = word_hashes(texts, PLAIN)
+    ends = np.cumsum(counts)
+    # A 0 after each document keeps matches inside it.
+    words = np.insert(hashes, ends, 0)
+    starts = ends - counts + np.arange(len(counts))
+    covered = np.zeros(len(words) + 1, dtype=np.int64)
+    matches: list[list[tuple]] = [[] for _ in counts]
+    if len(tests.words):
+        window, position = find(words, tests)
+        np.add.at(covered, position, 1)
+        np.add.at(covered, position + tests.length[window], -1)
+        joined = longest_matches(tests, window, position, np.searchsorted(starts, position, side="right") - 1)
+        owner = np.searchsorted(starts, joined["position"].to_numpy(), side="right") - 1
+        rows = zip(owner, joined["item"], joined["at"], joined["position"] - starts[owner], joined["n_words"], strict=True)
+        for doc, item, at, place, n in rows:
+            matches[doc].append((tests.names[item], int(at), int(place), int(n)))
+    return Found(counts, np.cumsum(covered[:-1]) > 0, starts, matches)
+
+
+def _block(items: DataFrame) -> Suffixes:
+    """The suffixes of one block, whose size is bounded."""
+    return test_suffixes([(row["item_id"], row["text"]) for row in items.select("item_id", "text").collect()])
+
+
 def match_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with its own columns in ``own``, and n_words, n_hit, matches per document."""
-    spark = docs.sparkSession
-    blocks, block, held = [], [], 0
-    for row in benchmark.select("item_id", "text").toLocalIterator():
-        block.append((row["item_id"], row["text"]))
-        held += len(row["text"] or "")
-        if held >= BLOCK_CHARS:
-            blocks.append(spark.sparkContext.broadcast(test_suffixes(block)))
-            block, held = [], 0
-    if block:
-        blocks.append(spark.sparkContext.broadcast(test_suffixes(block)))
+    """``docs`` with its own columns, and n_words, n_hit, matches per document."""
+    chars = benchmark.agg(F.sum(F.char_length(F.coalesce("text", F.lit(""))) + 1)).first()[0] or 0
+    blocks = -(-chars // BLOCK_CHARS)
+    if blocks > 1:
+        return _match_blocks(docs, benchmark, blocks)
+    shared = docs.sparkSession.sparkContext.broadcast(_block(benchmark))
 
     def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for shard in slices(batches, "text", SHARD_CHARS):
-            hashes, counts = word_hashes(shard["text"].tolist(), PLAIN)
-            ends = np.cumsum(counts)
-            # A 0 after each document keeps matches inside it.
-            words = np.insert(hashes, ends, 0)
-            starts = ends - counts + np.arange(len(counts))
-            covered = np.zeros(len(words) + 1, dtype=np.int64)
-            matches: list[list[tuple]] = [[] for _ in counts]
-            for tests in (b.value for b in blocks):
-                if not len(tests.words):
-                    continue
-                window, position = find(words, tests)
-                np.add.at(covered, position, 1)
-                np.add.at(covered, position + tests.length[window], -1)
-                joined = longest_matches(tests, window, position, np.searchsorted(starts, position, side="right") - 1)
-                owner = np.searchsorted(starts, joined["position"].to_numpy(), side="right") - 1
-                rows = zip(owner, joined["item"], joined["at"], joined["position"] - starts[owner], joined["n_words"], strict=True)
-                for doc, item, at, place, n in rows:
-                    matches[doc].append((tests.names[item], int(at), int(place), int(n)))
-            hit = np.append(0, np.cumsum(np.cumsum(covered[:-1]) > 0))
-            n_hit = hit[starts + counts] - hit[starts]
-            yield shard.drop(columns="text").assign(n_words=counts, n_hit=n_hit, matches=matches)
+            found = search_shard(shard["text"].tolist(), shared.value)
+            hit = np.append(0, np.cumsum(found.covered))
+            n_hit = hit[found.starts + found.n_words] - hit[found.starts]
+            yield shard.drop(columns="text").assign(n_words=found.n_words, n_hit=n_hit, matches=found.matches)
 
     own = [c for c in docs.columns if c != "text"]
     schema = docs.select(*own).schema.simpleString()[len("struct<") : -1] if own else ""
     return docs.mapInPandas(judged, f"{schema}{', ' if own else ''}n_words long, n_hit long, matches {MATCH}")
 
 
+def _match_blocks(docs: DataFrame, benchmark: DataFrame, blocks: int) -> DataFrame:
+    """One pass over the documents for each block of the benchmark; driver and tasks hold one block at
+    a time. What the passes hit is joined per document."""
+    spark = docs.sparkSession
+    own = [c for c in docs.columns if c != "text"]
+    numbered = docs.select(F.struct(*own, F.lit(0).alias("_")).alias("own"), "text", F.monotonically_increasing_id().alias("row"))
+    stored = materialize(numbered, "decontamination-documents")
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).alias("block")
+    items = materialize(benchmark.select("item_id", "text", block), "decontamination-items")
+    schema = f"row long, spans array<struct<low:long, high:long>>, matches {MATCH}"
+    passes = None
+    for k in range(blocks):
+        shared = spark.sparkContext.broadcast(_block(items.where(F.col("block") == k)))
+
+        def hit(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            for shard in slices(batches, "text", SHARD_CHARS):
+                found = search_shard(shard["text"].tolist(), shared.value)
+                edges = np.flatnonzero(np.diff(found.covered.astype(np.int8), prepend=0, append=0))
+                owner = np.searchsorted(found.starts, edges[::2], side="right") - 1
+                spans: list[list[tuple[int, int]]] = [[] for _ in found.n_words]
+                for doc, low, high in zip(owner, edges[::2] - found.starts[owner], edges[1::2] - found.starts[owner], strict=True):
+                    spans[doc].append((int(low), int(high)))
+                rows = [(row, s, m) for row, s, m in zip(shard["row"], spans, found.matches, strict=True) if s]
+                yield pd.DataFrame(rows, columns=["row", "spans", "matches"])
+
+        found = materialize(stored.select("row", "text").mapInPandas(hit, schema), "decontamination-hits")
+        shared.destroy()
+        passes = found if passes is None else passes.unionByName(found)
+    spans = F.array_sort(F.flatten(F.collect_list("spans")))
+    per_doc = passes.groupBy("row").agg(spans.alias("spans"), F.flatten(F.collect_list("matches")).alias("matches"))
+    zero = F.lit(0).cast("long")
+    covered = F.aggregate(
+        "spans",
+        F.struct(zero.alias("end"), zero.alias("sum")),
+        lambda acc, s: F.struct(
+            F.greatest(acc["end"], s["high"]).alias("end"),
+            (acc["sum"] + F.greatest(zero, s["high"] - F.greatest(acc["end"], s["low"]))).alias("sum"),
+        ),
+        lambda acc: acc["sum"],
+    )
+
+    def sized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for shard in slices(batches, "text", SHARD_CHARS):
+            yield shard[["row"]].assign(n_words=word_hashes(shard["text"].tolist(), PLAIN)[1])
+
+    sizes = stored.select("row", "text").mapInPandas(sized, "row long, n_words long")
+    hits = per_doc.select("row", covered.alias("n_hit"), "matches")
+    joined = stored.select("row", "own").join(sizes, "row").join(hits, "row", "left")
+    return joined.select(
+        *(F.col("own")[c].alias(c) for c in own),
+        "n_words",
+        F.coalesce("n_hit", zero).alias("n_hit"),
+        F.coalesce("matches", F.array().cast(MATCH)).alias("matches"),
+    )
+
+
 def contaminated() -> Column:
     """Five percent of a document's words or more stand in benchmark windows."""
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))

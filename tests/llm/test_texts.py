@@ -126,6 +126,13 @@ def test_decontamination_matches_sql(spark):
     _against_sql(op7_decontamination(spark, "/root/testdata/sf0.01"), OP7_SQL, "/root/testdata/sf0.01")
 
 
+def test_a_benchmark_of_many_blocks_matches_sql(spark, monkeypatch):
+    monkeypatch.setattr(dec, "BLOCK_CHARS", 4000)
+    found = op7_decontamination(spark, SMALL)
+    _against_sql(found, OP7_SQL, SMALL)
+    assert found.where("n_hit > 0").count() > 0
+
+
 def test_longest_matches_have_their_places(spark, monkeypatch):
     monkeypatch.setattr(dec, "BLOCK_CHARS", 60)
     item = [f"w{k}" for k in range(30)]
