@@ -47,7 +47,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     mixed = mix(docs, docs.columns).where("copies > 0")
-    return mixed.select("own.*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
+    return mixed.select("own", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("own.*")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
