@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from feedloom.llm.token_ids import tokenizer_file
+from feedloom.session import materialize
 from tests.llm.test_jaccard import brute_force
 from tests.llm.test_texts import _brute_tokens
 
@@ -35,6 +38,30 @@ def test_stages(spark, tmp_path):
     assert _rows(docs) == expected
 
 
+def test_clashing_columns_and_very_long_texts(spark):
+    """Further columns, named like those that the stages make, go through all stages; long texts whole."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(120)
+    good = spark.read.parquet(f"{SF}/documents.parquet").join(
+        spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1"), "doc_id", "left_semi"
+    )
+    long_text = "\n".join(r.text for r in good.orderBy("doc_id").collect())
+    assert len(long_text.split()) > 20_000
+    longest = spark.createDataFrame([(10**9, long_text, "en", "src0", len(long_text))], docs.schema)
+    names = ("own", "key", "more", "copy", "copies", "row", "size", "hash", "tag", "kept", "n_words", "n_hit", "matches", "taken")
+    given = docs.unionByName(longest).select("*", *(F.lit(name).alias(name) for name in names))
+    before = {r.doc_id: r.text for r in given.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = materialize(stage(spark, given, SF), "odd-stage")
+        assert out.columns == given.columns, name
+        rows = out.collect()
+        assert rows and all(before[r.doc_id] == r.text and all(r[n] == n for n in names) for r in rows), name
+        if name != corpus_pipeline.STAGES[3][0]:  # the mix may leave out what is larger than its source's share
+            assert any(r.doc_id == 10**9 for r in rows), name
+        given = out
+    name, last = corpus_pipeline.STAGES[-1]
+    assert last(spark, given, SF).count() == given.count(), name
+
+
 def test_odd_rows_pass_all_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
