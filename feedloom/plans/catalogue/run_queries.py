@@ -60,27 +60,30 @@ kept AS (
 @query(
     f"""
 WITH {S.ARTICLES}
-SELECT sha256(url) AS doc_id, CASE WHEN l.doc_id IS NULL THEN title ELSE 'Corrected: ' || title END AS title,
-       l.doc_id IS NOT NULL AS late
-FROM articles a LEFT JOIN labels l ON l.doc_id = a.doc_id
+SELECT sha256(url) AS doc_id, CASE WHEN lang <> 'en' THEN 'Corrected: ' || title ELSE title END AS title,
+       coalesce(lang <> 'en', FALSE) AS late
+FROM articles
 """
 )
 def merge_of_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents, and corrections that were fetched a day later, in one index: corrections of
-    even documents land after them, those of odd documents before."""
+    """All documents, and corrections of those that are not English, fetched a day later, in one index:
+    corrections of some sources land after their documents, those of all others before."""
     articles = I.keyed_articles(spark, sf_dir).withColumn("sentiment", F.lit("neutral"))
-    labels = I.read(spark, sf_dir, "labels").select(F.col("doc_id").alias("n"))
     first = articles.withColumns({"written_at": F.lit(I.RUN_AT), "written_run": F.lit("run-1")})
-    second = articles.join(labels, "n", "left_semi").withColumns(
+    second = articles.where("lang <> 'en'").withColumns(
         {
             "written_at": F.lit(LATER),
             "written_run": F.lit("run-2"),
             "title": F.concat(F.lit("Corrected: "), "title"),
         }
     )
-    even = F.col("n") % 2 == 0
+    in_order = F.coalesce(F.col("source") < "src15", F.lit(False))
     index, _ = _index(spark)
-    for batch in (first.where(even).unionByName(second.where(~even)), second.where(even).unionByName(first.where(~even))):
+    batches = (
+        first.where(in_order).unionByName(second.where(~in_order)),
+        second.where(in_order).unionByName(first.where(~in_order)),
+    )
+    for batch in batches:
         documents = to_document(with_hash_embedding(batch, 16), "written_at", "written_run", F.col("n").alias("row"))
         index.upsert(documents, stored=True)
     late = index.read_writes().select("doc_id", (F.col("written_run") == "run-2").alias("late"))
