@@ -68,7 +68,8 @@ def heavy_keys(
                 held = held.filter(pc.greater(held.column("weight"), off))
                 held = held.set_column(1, "weight", pc.subtract(held.column("weight"), off))
         if held is not None:
-            held = held.append_column("lost", pa.array([0.0] * len(held))).combine_chunks()
+            # All keys may have been taken off: without rows the type has to be told.
+            held = held.append_column("lost", pa.array([0.0] * len(held), pa.float64())).combine_chunks()
             yield from held.to_batches()
             yield pa.RecordBatch.from_arrays([pa.nulls(1, held.schema.field("key").type), pa.array([0.0]), pa.array([lost])], schema=held.schema)
 

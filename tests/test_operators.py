@@ -372,6 +372,16 @@ def test_sketch_finds_all_heavy_keys_among_a_million(spark):
     assert sorted(r.k for r in heavy_keys(names, "k", 400).collect()) == ["n0", "n1"]
 
 
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_a_task_whose_keys_are_all_as_light_leaves_an_empty_sketch(spark, kind):
+    rows = spark.range(0, 30, numPartitions=1).select(F.col("id").cast(kind).alias("k"))
+    assert heavy_keys(rows, "k", 100, tracked=8).count() == 0
+    more = rows.union(spark.range(500).select(F.lit(7).cast(kind)))
+    assert [r.k for r in heavy_keys(more, "k", 100, tracked=8).collect()] == ["7" if kind == "string" else 7]
+    joined = join_skewed(rows, rows.withColumn("v", F.lit(1)), "k", heavy=heavy_keys(rows, "k", 100, tracked=8))
+    assert joined.count() == 30
+
+
 def test_contents_move_once_when_both_replies_are_joined(spark):
     def reply(*numbers):
         return json.dumps({"data": [{"embedding": list(numbers)}]})
