@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +35,15 @@ def slices(batches: Iterator[pd.DataFrame], column: str, chars: int) -> Iterator
             continue
         sizes = batch[column].map(lambda t: len(t) if isinstance(t, str) else 0).cumsum() // chars
         yield from (run for _, run in batch.groupby(sizes.to_numpy(), sort=False))
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: int, chars: int) -> Iterator[pa.RecordBatch]:
+    """The same runs of Arrow batches, which share the batch's memory. A null has no characters."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        run = np.cumsum(sizes, dtype=np.int64) // chars
+        starts = np.flatnonzero(np.append(True, run[1:] != run[:-1])).tolist()
+        for at, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            yield batch.slice(at, end - at)

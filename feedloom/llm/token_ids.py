@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm import simple8b
-from feedloom.llm.inputs import slices, table
+from feedloom.llm.inputs import table, text_slices
 from feedloom.session import scratch_dir
 
 END_ID = 0
@@ -66,7 +67,6 @@ class PieceEncoder:
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.starts = np.zeros(1 << 14, dtype=np.int64)
         self.counts = np.zeros(1 << 14, dtype=np.int64)  # -1: not to be encoded alone
-        self.sign = np.zeros(1 << 14, dtype=bool)  # ends with neither a letter nor a digit
         self.used = 0
         self.add([".", ","])
 
@@ -88,12 +88,25 @@ class PieceEncoder:
             raise ValueError("the tokenizer does not cut texts at spaces and line breaks")
         return ids, counts
 
+    @staticmethod
+    def _alone(pieces: list[str], at: int, glue: str, odd: list[str]) -> list[str]:
+        """The pieces that are one word from place ``at`` on; the others go to ``odd``. Only where
+        several hundred together do not split into as many words is each looked at."""
+        found: list[str] = []
+        for k in range(0, len(pieces), 512):
+            some = pieces[k : k + 512]
+            words = [p[at:] for p in some]
+            if glue.join(some).split() == words:
+                found += some
+                continue
+            for piece, word in zip(some, words, strict=True):
+                (found if word.split() == [word] else odd).append(piece)
+        return found
+
     def add(self, pieces: list[str]) -> None:
-        spaced, bare, odd = [], [], []
-        for piece in pieces:
-            core = piece.removeprefix(" ")
-            alone = core.split() == [core]
-            (odd if not alone else spaced if len(core) < len(piece) else bare).append(piece)
+        odd: list[str] = []
+        spaced = self._alone([p for p in pieces if p[:1] == " "], 1, "", odd)
+        bare = self._alone([p for p in pieces if p[:1] != " "], 0, "\n", odd)
         for some, glue in ((spaced, ""), (bare, "\n")):
             if some:
                 self._store(some, *self._joined(some, glue))
@@ -108,7 +121,7 @@ class PieceEncoder:
     def _store(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         first, n = len(self.index), len(pieces)
         while first + n > len(self.starts):
-            for name in ("starts", "counts", "sign"):
+            for name in ("starts", "counts"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
         while self.used + len(ids) > len(self.flat):
@@ -116,7 +129,6 @@ class PieceEncoder:
         self.flat[self.used : self.used + len(ids)] = ids
         self.starts[first : first + n] = self.used + np.cumsum(counts) - counts
         self.counts[first : first + n] = counts
-        self.sign[first : first + n] = [not p[-1:].isalnum() for p in pieces]
         self.used += len(ids)
         self.index.update(zip(pieces, range(first, first + n), strict=True))
 
@@ -131,25 +143,32 @@ class PieceEncoder:
         for old, new in (("\n", "\0\n\0"), (" ", "\0 "), (".\0", "\0.\0"), (",\0", "\0,\0")):
             cut = pc.replace_substring(cut, old, new)
         cut = pc.split_pattern(cut, "\0")
-        sizes = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
         pieces = pc.dictionary_encode(cut.flatten())
-        distinct = pieces.dictionary.to_pylist()
+        first = np.append(0, np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False), dtype=np.int64))
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
         index = self.index
-        if new := [p for p in distinct if p not in index]:
-            self.add(new)
-        known = np.fromiter(map(index.__getitem__, distinct), dtype=np.int64, count=len(distinct))
-        at = known[pieces.indices.to_numpy(zero_copy_only=False)]
-        owner = np.repeat(np.arange(len(texts)), sizes)
-        counts = self.counts[at]
-        odd = counts < 0
-        stop = (at == index["."]) | (at == index[","])
-        odd[1:] |= self.sign[at[:-1]] & stop[1:] & (owner[1:] == owner[:-1])
-        direct = special.to_numpy(zero_copy_only=False)
-        direct = direct | (np.bincount(owner[odd], minlength=len(texts)) > 0)
-        counts[direct[owner]] = 0
-        lengths = np.bincount(owner, weights=counts, minlength=len(texts)).astype(np.int64)
-        before = np.cumsum(counts) - counts
-        ids = self.flat[np.repeat(self.starts[at] - before, counts) + np.arange(int(counts.sum()))]
+        # Looked up by distinct piece first: those tables are small, the gathers below stay in the caches.
+        known = np.fromiter(map(index.get, distinct, repeat(-1)), dtype=np.int64, count=len(distinct))
+        if len(missing := np.flatnonzero(known < 0)):
+            self.add(new := [distinct[k] for k in missing.tolist()])
+            known[missing] = np.fromiter(map(index.__getitem__, new), dtype=np.int64, count=len(new))
+        codes = pieces.indices.to_numpy(zero_copy_only=False)
+        known_counts = self.counts[known].astype(np.int32)
+        direct = special.to_numpy(zero_copy_only=False).copy()
+        if (known_counts < 0).any():
+            direct[self._owners(first, np.flatnonzero((known_counts < 0)[codes]))] = True
+        direct[self._owners(first, self._stops_after_signs(distinct, known, codes, first))] = True
+        counts = known_counts[codes]
+        for k in np.flatnonzero(direct):
+            counts[first[k] : first[k + 1]] = 0
+        ends = np.append(0, np.cumsum(counts, dtype=np.int64))
+        lengths = ends[first[1:]] - ends[first[:-1]]
+        # Places fit 32 bits unless the ids known, or those of the batch, are more than that holds.
+        kind = np.int32 if max(self.used, int(ends[-1])) < 1 << 31 else np.int64
+        shift = self.starts[known].astype(kind)[codes] - ends[:-1].astype(kind)
+        at = np.repeat(shift, counts)
+        at += np.arange(int(ends[-1]), dtype=kind)
+        ids = self.flat[at]
         if not direct.any():
             return ids, lengths
         parts, ends = [], np.cumsum(lengths)
@@ -157,6 +176,25 @@ class PieceEncoder:
             parts.append(self.whole(texts[k].as_py()) if direct[k] else ids[ends[k] - lengths[k] : ends[k]])
         return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
 
+    @staticmethod
+    def _owners(first: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The texts in which the pieces at ``places`` stand."""
+        return np.searchsorted(first, places, side="right") - 1
+
+    def _stops_after_signs(
+        self, distinct: list[str], known: np.ndarray, codes: np.ndarray, first: np.ndarray
+    ) -> np.ndarray:
+        """Places of full stops and commas that follow neither a letter nor a digit of their text."""
+        stops = np.flatnonzero(((known == self.index["."]) | (known == self.index[","]))[codes])
+        stops = stops[stops > 0]
+        before = codes[stops - 1]
+        asked = np.zeros(len(distinct), dtype=bool)
+        asked[before] = True
+        sign = np.zeros(len(distinct), dtype=bool)
+        sign[[k for k in np.flatnonzero(asked).tolist() if not distinct[k][-1:].isalnum()]] = True
+        found = stops[sign[before]]
+        return found[first[self._owners(first, found)] < found]
+
 
 _ENCODERS: dict[int, PieceEncoder] = {}
 
@@ -186,7 +224,9 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_json: str, end_id: int
         .select("doc_id", "text")
     )
 
-    def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = docs.sparkSession.createDataFrame([], CHUNKS).toArrow().schema
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_json)
         shard, chunk, first = TaskContext.get().partitionId(), 0, 0
         ids: list[np.ndarray] = []
@@ -194,17 +234,17 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_json: str, end_id: int
         sizes: list[int] = []
         held = 0
 
-        def packed() -> pd.DataFrame:
+        def packed() -> pa.RecordBatch:
             words, offsets, escaped = simple8b.encode(np.concatenate(ids))
             row = (shard, chunk, first, held, words.tobytes(), offsets.tobytes(), escaped.tobytes(), docs, sizes)
-            return pd.DataFrame([row], columns=[c.split()[0] for c in CHUNKS.split(", ")])
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, kinds, strict=True)], schema=kinds)
 
-        for batch in slices(batches, "text", BATCH_CHARS):
-            flat, lengths = encoder.encode(pa.array(batch["text"], type=pa.large_string()))
+        for batch in text_slices(batches, 1, BATCH_CHARS):
+            flat, lengths = encoder.encode(batch.column(1).cast(pa.large_string()))
             out = np.insert(flat, np.cumsum(lengths), end_id)
             ids.append(out)
             held += len(out)
-            docs += [None if pd.isna(d) else int(d) for d in batch["doc_id"].tolist()]
+            docs += batch.column(0).to_pylist()
             sizes += (lengths + 1).tolist()
             if held >= CHUNK_IDS:
                 yield packed()
@@ -213,7 +253,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_json: str, end_id: int
         if docs:
             yield packed()
 
-    dealt.mapInPandas(chunks, CHUNKS).write.parquet(path)
+    dealt.mapInArrow(chunks, CHUNKS).write.parquet(path)
 
 
 def read_token_ids(spark: SparkSession, path: str) -> DataFrame:

@@ -13,6 +13,8 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,7 +24,8 @@ from feedloom.llm import simple8b
 from feedloom.llm.chat import OP8_SQL, conversation_digests, escape, format_examples, op8_chat_format, unescape
 from feedloom.llm.decontamination import OP7_SQL, contaminated, match_benchmark, op7_decontamination
 from feedloom.llm.html_markup import path_id, read_page
-from feedloom.llm.token_ids import op10_token_ids, tokenize_documents, tokenizer_file
+from feedloom.llm.inputs import slices, text_slices
+from feedloom.llm.token_ids import PieceEncoder, op10_token_ids, tokenize_documents, tokenizer_file
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -104,6 +107,25 @@ def test_token_ids_of_the_documents(spark):
     assert sorted(map(tuple, got)) == _brute_tokens(rows)
 
 
+@pytest.mark.parametrize("limit", [3, 500_000])
+def test_pieces_of_arrow_runs_give_the_ids_of_whole_texts(limit):
+    odd = ["", " ", "a.b.,c ., d!., e", "x\u00a0y. z", "\n\n. a", "\0.", ".", ", .", "w " * 700, "q\tr, s.", "<|endoftext|>. a", "\u00e9, 1,5."]
+    texts = [*odd, None, *(f"v{k} v{k}, (v{k}). " * (k % 5) for k in range(900)), *odd[::-1]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    runs = list(text_slices(iter([batch.slice(0, 0), batch]), 1, 500))
+    assert [t for run in runs for t in run.column(1).to_pylist()] == texts
+    # The same runs as of pandas batches: cut where the characters counted so far pass a multiple of 500.
+    assert [len(run) for run in slices(iter([batch.to_pandas()]), "text", 500)] == [run.num_rows for run in runs]
+    with open(tokenizer_file(), encoding="utf-8") as file:
+        encoder = PieceEncoder(file.read(), limit)
+    for run in runs:
+        some = pc.fill_null(run.column(1), "").cast(pa.large_string())
+        ids, lengths = encoder.encode(some)
+        expected = [encoder.whole(t).tolist() for t in some.to_pylist()]
+        assert lengths.tolist() == [len(e) for e in expected]
+        assert ids.tolist() == sum(expected, [])
+
+
 def test_token_ids_of_odd_texts(spark):
     texts = [
         None, "", " ", "\n", "a", " a", "a ", "a\n\nb\n", "x  y", "a.b.,c ., d!., e", "x　 　y z  w", "\0", "a\0b. c",
