@@ -71,7 +71,7 @@ def hashed_vector(text: str | Column, dim: int) -> Column:
 
 def _hashed_vector_udf(dim: int) -> Callable[[Column], Column]:
     # Everything the workers need is nested here, so the function travels by value.
-    slice_rows = 256
+    slice_rows, slice_bytes = 256, 1 << 20
 
     def hash_tokens(distinct: pa.Array) -> np.ndarray:
         words = distinct.cast(pa.large_string())
@@ -105,8 +105,14 @@ def _hashed_vector_udf(dim: int) -> Callable[[Column], Column]:
         return vectors / norms
 
     def embed(texts: pa.Array) -> pa.Array:
-        slices = [embed_slice(texts.slice(i, slice_rows)) for i in range(0, len(texts), slice_rows)]
+        # Tokens take many times their text: a slice ends after so many bytes, however few its rows.
+        run = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64) // slice_bytes
+        row = np.arange(len(texts))
+        starts = np.flatnonzero((row % slice_rows == 0) | (np.diff(run, prepend=0) > 0)).tolist()
+        slices = [embed_slice(texts.slice(i, j - i)) for i, j in zip(starts, [*starts[1:], len(texts)])]
         values = np.concatenate(slices).ravel() if slices else np.zeros(0)
+        # What a batch of long texts took goes back, as the worker lives on.
+        pa.default_memory_pool().release_unused()
         offsets = np.arange(len(texts) + 1, dtype=np.int32) * dim
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 

@@ -3,6 +3,7 @@
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -385,3 +386,22 @@ def test_literal_and_column_paths_follow_one_grammar(spark):
 def test_instants_end_where_the_text_ends(spark):
     frame = spark.createDataFrame([("2026-05-09T08:00:00Z",), ("2026-05-09T08:00:00Z\n",)], "t string")
     assert [r.p is None for r in frame.select(parse_instant("t").alias("p")).collect()] == [False, True]
+
+
+def test_memory_of_the_hashed_vector_follows_bytes_and_not_rows(spark):
+    from feedloom.functions.vectors import _hashed_vector_udf
+
+    embed = _hashed_vector_udf(16).func
+    texts = pa.array(["ab cd, " * 100_000, "", "x"] * 64)
+    pool = pa.proxy_memory_pool(pa.default_memory_pool())
+    usual = pa.default_memory_pool()
+    pa.set_memory_pool(pool)
+    try:
+        vectors = embed(texts).to_pylist()
+        held = pool.max_memory()
+    finally:
+        pa.set_memory_pool(usual)
+    assert held < 60_000_000  # 45 million bytes of text, in texts of 700,000
+    alone = [embed(texts.slice(k, 1)).to_pylist()[0] for k in range(3)]
+    assert vectors == alone * 64
+    assert len(embed(texts.slice(0, 0))) == 0
