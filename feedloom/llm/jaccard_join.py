@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.components import connected_components
-from feedloom.llm.inputs import table
+from feedloom.llm.inputs import table, text_slices
 from feedloom.llm.word_hashes import SPACED, mixed, word_hashes
 from feedloom.session import materialize
 
@@ -252,32 +252,28 @@ def profiles(docs: DataFrame, tag: str | None = None) -> DataFrame:
     """Digest, minimum hashes and bitmap of every document's set; null where it is empty."""
 
     def profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lengths = np.cumsum([len(t) if t else 0 for t in batch.column(1).to_pylist()])
-            cuts = np.flatnonzero(np.diff(lengths // BATCH_CHARS)) + 1
-            for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
-                part = batch.slice(start, end - start)
-                sets = shingle_sets(part.column(1).to_pylist())
-                full = [s for s in sets if len(s)]
-                place = np.full(len(sets), len(full))
-                place[[len(s) > 0 for s in sets]] = np.arange(len(full))
-                at = pa.array(place, mask=place == len(full))
-                if full:
-                    keys = minimum_hashes(full).view(np.int64)
-                    columns = [
-                        _binary(digests(full)),
-                        pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), KEYS).cast(pa.list_(pa.int64())),
-                        _binary(bitmaps(full, BITMAP_WORDS)),
-                        # One byte of each minimum hash, to count how many are shared.
-                        _binary(np.ascontiguousarray(keys.astype(np.uint8)).view(">u8")),
-                    ]
-                else:
-                    columns = [pa.array([], t) for t in (pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary())]
-                sizes = pa.array([len(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), sizes, *(c.take(at) for c in columns)],
-                    names=[c.split()[0] for c in PROFILE.split(", ")]
-                )
+        for part in text_slices(batches, 1, BATCH_CHARS):
+            sets = shingle_sets(part.column(1).to_pylist())
+            full = [s for s in sets if len(s)]
+            place = np.full(len(sets), len(full))
+            place[[len(s) > 0 for s in sets]] = np.arange(len(full))
+            at = pa.array(place, mask=place == len(full))
+            if full:
+                keys = minimum_hashes(full).view(np.int64)
+                columns = [
+                    _binary(digests(full)),
+                    pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), KEYS).cast(pa.list_(pa.int64())),
+                    _binary(bitmaps(full, BITMAP_WORDS)),
+                    # One byte of each minimum hash, to count how many are shared.
+                    _binary(np.ascontiguousarray(keys.astype(np.uint8)).view(">u8")),
+                ]
+            else:
+                columns = [pa.array([], t) for t in (pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary())]
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(2), sizes, *(c.take(at) for c in columns)],
+                names=[c.split()[0] for c in PROFILE.split(", ")]
+            )
 
     tag = F.col(tag).cast("long") if tag else F.lit(0).cast("long")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", tag.alias("tag")).mapInArrow(profiled, PROFILE)

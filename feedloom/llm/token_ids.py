@@ -13,6 +13,7 @@ empty table gives no chunk; further columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import repeat
@@ -32,11 +33,16 @@ from feedloom.session import scratch_dir
 END_ID = 0
 CHUNK_IDS = 1 << 19
 CACHED_PIECES = 500_000
-BATCH_CHARS = 3_000_000
+BATCH_CHARS = 1_000_000
+# Texts that one call of the library encodes: what it returns takes many times their size.
+TEXTS_AT_ONCE = 16
 CHUNKS = (
     "shard int, chunk int, first long, n_ids long, words binary, offsets binary, escaped binary, "
     "doc_ids array<bigint>, doc_tokens array<bigint>"
 )
+# The same for Arrow. Spark would tell it by a job of its own, whose Python workers stay on every executor.
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+CHUNK_FIELDS = pa.schema([(name, _ARROW[kind]) for name, kind in (c.split() for c in CHUNKS.split(", "))])
 
 
 class PieceEncoder:
@@ -76,7 +82,8 @@ class PieceEncoder:
     def _joined(self, pieces: list[str], glue: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces encoded in one text each few hundred, and how many each piece has."""
         texts = [glue.join(pieces[k : k + 512]) + glue for k in range(0, len(pieces), 512)]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        some = (texts[k : k + TEXTS_AT_ONCE] for k in range(0, len(texts), TEXTS_AT_ONCE))
+        found = (e for t in some for e in self.tokenizer.encode_batch_fast(t, add_special_tokens=False))
         ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in found])
         if glue:
             ends = np.flatnonzero(ids == self.line_break[0])
@@ -200,7 +207,11 @@ _ENCODERS: dict[int, PieceEncoder] = {}
 
 
 def _encoder(tokenizer_json: str) -> PieceEncoder:
-    """One encoder per Python worker; its pieces serve the worker's later tasks too."""
+    """One encoder per Python worker; its pieces serve the worker's later tasks too.
+
+    Tasks fill the cores already: the library's own threads would only hold memory, each its own.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     key = zlib.crc32(tokenizer_json.encode())
     if key not in _ENCODERS:
         _ENCODERS.clear()
@@ -224,8 +235,6 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_json: str, end_id: int
         .select("doc_id", "text")
     )
 
-    kinds = docs.sparkSession.createDataFrame([], CHUNKS).toArrow().schema
-
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_json)
         shard, chunk, first = TaskContext.get().partitionId(), 0, 0
@@ -237,7 +246,8 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_json: str, end_id: int
         def packed() -> pa.RecordBatch:
             words, offsets, escaped = simple8b.encode(np.concatenate(ids))
             row = (shard, chunk, first, held, words.tobytes(), offsets.tobytes(), escaped.tobytes(), docs, sizes)
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, kinds, strict=True)], schema=kinds)
+            columns = [pa.array([v], field.type) for v, field in zip(row, CHUNK_FIELDS, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, schema=CHUNK_FIELDS)
 
         for batch in text_slices(batches, 1, BATCH_CHARS):
             flat, lengths = encoder.encode(batch.column(1).cast(pa.large_string()))
@@ -250,8 +260,11 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_json: str, end_id: int
                 yield packed()
                 chunk, first = chunk + 1, first + held
                 ids, docs, sizes, held = [], [], [], 0
+                # The worker lives on beside later stages: what texts took goes back.
+                pa.default_memory_pool().release_unused()
         if docs:
             yield packed()
+        pa.default_memory_pool().release_unused()
 
     dealt.mapInArrow(chunks, CHUNKS).write.parquet(path)
 

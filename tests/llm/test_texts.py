@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 
 from feedloom.llm import decontamination as dec
 from feedloom.llm import html_extraction as ext
-from feedloom.llm import simple8b
+from feedloom.llm import simple8b, token_ids
 from feedloom.llm.chat import OP8_SQL, conversation_digests, escape, format_examples, op8_chat_format, unescape
 from feedloom.llm.decontamination import OP7_SQL, contaminated, match_benchmark, op7_decontamination
 from feedloom.llm.html_markup import path_id, read_page
 from feedloom.llm.inputs import slices, text_slices
 from feedloom.llm.token_ids import PieceEncoder, op10_token_ids, tokenize_documents, tokenizer_file
+from feedloom.session import materialize
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -144,6 +145,41 @@ def test_token_ids_of_odd_texts(spark):
     assert [r.start for r in again] == np.cumsum([0] + [r.n_tokens for r in again[:-1]]).tolist()
 
 
+def test_token_ids_start_no_job_for_their_columns(spark, monkeypatch):
+    """A job on local rows leaves Python workers of its own kind on every executor."""
+    kinds = spark.createDataFrame([], token_ids.CHUNKS).toArrow().schema
+    assert kinds.names == token_ids.CHUNK_FIELDS.names
+    assert all(a.type.equals(b.type) for a, b in zip(kinds, token_ids.CHUNK_FIELDS, strict=True))
+    rows = [(k, f"a b{k} c, d. {k}") for k in range(9)]
+    docs = materialize(spark.createDataFrame(rows, "doc_id long, text string"), "token-id-rows")
+    with monkeypatch.context() as patch:
+        patch.setattr(type(spark), "createDataFrame", None)
+        got = sorted(map(tuple, tokenize_documents(spark, docs, tokenizer_file()).collect()))
+    assert got == _brute_tokens(rows)
+
+
+def test_the_library_gets_few_texts_at_once():
+    """What it returns takes many times the size of the texts, so new pieces go to it in small lots."""
+    with open(tokenizer_file(), encoding="utf-8") as file:
+        encoder = PieceEncoder(file.read())
+    sizes, library = [], encoder.tokenizer
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+        def encode_batch_fast(self, texts, **more):
+            sizes.append(len(texts))
+            return library.encode_batch_fast(texts, **more)
+
+    encoder.tokenizer = Counted()
+    text = " ".join(f"w{k}" for k in range(20_000)) + "\n" + "\n".join(f"v{k}" for k in range(20_000))
+    ids, lengths = encoder.encode(pa.array([text, "w1"]))
+    assert len(sizes) > 2 and max(sizes) <= token_ids.TEXTS_AT_ONCE == 16
+    assert ids[: lengths[0]].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert ids[lengths[0] :].tolist() == library.encode("w1", add_special_tokens=False).ids
+
+
 def test_decontamination_matches_sql(spark):
     _against_sql(op7_decontamination(spark, "/root/testdata/sf0.01"), OP7_SQL, "/root/testdata/sf0.01")
 
